@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 def levels(snapshots: DataFrame) -> DataFrame:
     """One row per level and side; level 0 is the first one sent."""
     rest = [c for c in snapshots.columns if c not in ("bids", "asks")]
-    sides = F.flatten(F.array(*[
-        F.transform(F.coalesce(F.col(column), F.expr(
-            "cast(array() as array<struct<price: double, qty: double>>)")),
-            lambda lv, i, side=side: F.struct(
-                F.lit(side).alias("side"), i.alias("level"), lv["price"].alias("price"),
-                lv["qty"].alias("qty")))
-        for side, column in (("bid", "bids"), ("ask", "asks"))]))
+    def side(name: str, column: str) -> Column:
+        return F.transform(
+            F.coalesce(column, F.expr("cast(array() as array<struct<price: double, qty: double>>)")),
+            lambda lv, i: F.struct(F.lit(name).alias("side"), i.alias("level"),
+                                   lv["price"].alias("price"), lv["qty"].alias("qty")))
+
+    sides = F.concat(side("bid", "bids"), side("ask", "asks"))
     return snapshots.select(*rest, F.inline(sides))
 
 

@@ -80,7 +80,8 @@ def performance(returns: DataFrame, weights: DataFrame) -> DataFrame:
     by_day = (returns.join(weights, "symbol").groupBy("bar_ms")
               .agg(F.sum(F.col("weight") * F.coalesce("ret", F.lit(0.0))).alias("ret")))
     so_far = W.partitionBy(F.lit(0)).orderBy("bar_ms").rowsBetween(W.unboundedPreceding, 0)
-    equity = by_day.withColumn("equity", F.exp(F.sum(F.log1p("ret")).over(so_far)))
+    equity = (by_day.withColumn("log_equity", F.sum(F.log1p("ret")).over(so_far))
+              .withColumn("equity", F.exp("log_equity")))
     peak = F.greatest(F.lit(1.0), F.max("equity").over(so_far))
     return equity.withColumn("peak", peak).withColumn(
         "drawdown", F.col("equity") / F.col("peak") - 1)
@@ -89,5 +90,6 @@ def performance(returns: DataFrame, weights: DataFrame) -> DataFrame:
 def summary(curve: DataFrame, periods: int = PERIODS) -> DataFrame:
     return curve.agg(
         F.count("*").alias("days"), F.max_by("equity", "bar_ms").alias("final_equity"),
+        F.max_by("log_equity", "bar_ms").alias("final_log_equity"),
         F.when(F.count("ret") >= 2, _deviation(periods)).alias("volatility"),
         _sharpe(periods, 0.0).alias("sharpe"), F.min("drawdown").alias("max_drawdown"))

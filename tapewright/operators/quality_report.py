@@ -14,14 +14,16 @@ def report(rows: DataFrame) -> DataFrame:
     """Per (symbol, stream type), per symbol and overall.
 
     Copies of a record are first merged into one row with a count, by partial aggregation, so the
-    duplicate rate needs no distinct aggregate.
+    duplicate rate needs no distinct aggregate. Scores add up as decimals, so a mean does not depend
+    on the order of the rows.
     """
+    score = F.col("data_quality_score").cast("decimal(12,6)")
     per_record = rows.groupBy("symbol", "stream_type", "record_id").agg(
-        F.count("*").alias("copies"), F.sum("data_quality_score").alias("score"),
+        F.count("*").alias("copies"), F.sum(score).alias("score"),
         F.sum(F.when(F.col("data_quality_score") >= 0.8, 1).otherwise(0)).alias("good"),
         F.sum(F.when(F.col("stream_name").isNull(), 1).otherwise(0)).alias("unnamed"))
     return per_record.rollup("symbol", "stream_type").agg(
-        F.sum("copies").alias("n"), (F.sum("score") / F.sum("copies")).alias("avg_score"),
+        F.sum("copies").alias("n"), (F.sum("score").cast("double") / F.sum("copies")).alias("avg_score"),
         (F.sum("good") / F.sum("copies")).alias("good_share"),
         (F.sum("unnamed") / F.sum("copies")).alias("unnamed_rate"),
         (1 - F.count("*") / F.sum("copies")).alias("duplicate_rate"))

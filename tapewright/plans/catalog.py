@@ -8,6 +8,7 @@ from tapewright.plans import (  # noqa: F401
     gold_queries,
     market_queries,
     registry,
+    stream_queries,
 )
 
 

@@ -104,7 +104,8 @@ def risk_beta(spark, folder):
 
 _CURVE = """days AS (SELECT bar_ms, sum(coalesce(ret, 0) / n) AS ret
     FROM rets, (SELECT count(DISTINCT symbol) AS n FROM rets) GROUP BY bar_ms),
-  growth AS (SELECT *, exp(sum(ln(1 + ret)) OVER (ORDER BY bar_ms)) AS equity FROM days),
+  growth AS (SELECT *, sum(ln(1 + ret)) OVER (ORDER BY bar_ms) AS log_equity,
+    exp(log_equity) AS equity FROM days),
   curve AS (SELECT *, greatest(1, max(equity) OVER (ORDER BY bar_ms)) AS peak FROM growth)"""
 
 
@@ -114,20 +115,20 @@ def curve(spark, folder) -> DataFrame:
 
 
 @query("portfolio_performance", _check(f"""
-SELECT {SQL_START}, {sql6("ret")} AS ret, {sql6("equity")} AS equity,
+SELECT {SQL_START}, {sql6("ret")} AS ret, {sql6("log_equity")} AS log_equity,
        {sql6("equity / peak - 1")} AS drawdown FROM curve""", _CURVE))
 def portfolio_performance(spark, folder):
-    return curve(spark, folder).select(start(), *six("ret", "equity", "drawdown"))
+    return curve(spark, folder).select(start(), *six("ret", "log_equity", "drawdown"))
 
 
 @query("portfolio_summary", _check(f"""
-SELECT count(*) AS days, {sql6("arg_max(equity, bar_ms)")} AS final_equity,
+SELECT count(*) AS days, {sql6("arg_max(log_equity, bar_ms)")} AS final_log_equity,
        {sql6("stddev_samp(ret) * sqrt(365)")} AS volatility,
        {sql6("avg(ret) / stddev_samp(ret) * sqrt(365)")} AS sharpe,
        {sql6("min(equity / peak - 1)")} AS max_drawdown FROM curve""", _CURVE))
 def portfolio_summary(spark, folder):
     return portfolio.summary(curve(spark, folder)).select(
-        "days", *six("final_equity", "volatility", "sharpe", "max_drawdown"))
+        "days", *six("final_log_equity", "volatility", "sharpe", "max_drawdown"))
 
 
 @query("gold_export_flat", _check("""

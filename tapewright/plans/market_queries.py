@@ -353,10 +353,10 @@ def ingest_latency(spark, folder):
 
 
 @query("dq_report", over("ids", f"""
-SELECT symbol, stream_type, CAST(sum(c) AS BIGINT) AS n, {sql6("sum(sc) / sum(c)")} AS avg_score,
+SELECT symbol, stream_type, CAST(sum(c) AS BIGINT) AS n, {sql6("sum(sc)::DOUBLE / sum(c)")} AS avg_score,
        {sql6("sum(g) / sum(c)")} AS good_share, {sql6("sum(u) / sum(c)")} AS unnamed_rate,
        {sql6("1 - count(*) / sum(c)")} AS duplicate_rate
-FROM (SELECT symbol, stream_type, record_id, count(*)::DOUBLE AS c, sum(data_quality_score) AS sc,
+FROM (SELECT symbol, stream_type, record_id, count(*)::DOUBLE AS c, sum(CAST(data_quality_score AS DECIMAL(12,6))) AS sc,
         sum(CASE WHEN data_quality_score >= 0.8::DOUBLE THEN 1 ELSE 0 END)::DOUBLE AS g,
         sum(CASE WHEN stream_name IS NULL THEN 1 ELSE 0 END)::DOUBLE AS u
       FROM ids WHERE reject_reason IS NULL GROUP BY 1, 2, 3)

@@ -23,7 +23,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def drop(spark: SparkSession, path: str) -> None:
     file_system, target = _file_system(spark, path)
     file_system.delete(target, True)
 
@@ -76,7 +76,7 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, batch_id: int = 0, k
     incoming = spark.read.parquet(f"{stage}/incoming")
     if not exists(spark, path):
         _write(incoming, path, "overwrite", partition)
-        _delete(spark, stage)
+        drop(spark, stage)
         return
 
     spread = F.array(*[F.date_format(F.date_add(F.col(day).cast("date"), d), "yyyy-MM-dd")
@@ -99,8 +99,8 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, batch_id: int = 0, k
     # A dynamic overwrite never empties a partition: drop those whose last row moved away.
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for emptied in changed.join(winners, list(partition), "left_anti").toLocalIterator():
-        _delete(spark, "/".join([path, *(f"{c}={escape(str(emptied[c]))}" for c in partition)]))
-    _delete(spark, stage)
+        drop(spark, "/".join([path, *(f"{c}={escape(str(emptied[c]))}" for c in partition)]))
+    drop(spark, stage)
 
 
 def since(spark: SparkSession, path: str, last_batch: int) -> DataFrame:

@@ -1,0 +1,49 @@
+"""EMA carried from batch to batch in Spark's state store, one small state per symbol."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tapewright.operators.series import ema_decay
+
+OUTPUT = "symbol string, bar_ms bigint, close double, ema double"
+
+
+class EmaProcessor(StatefulProcessor):
+    """Continues each symbol's average; bars at or before the last one seen are repeats."""
+
+    def __init__(self, span: int):
+        self._decay = ema_decay(span)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("last", "ema double, bar_ms bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        fresh = pd.concat(list(rows)).sort_values("bar_ms")
+        ema, seen = self._last.get() if self._last.exists() else (None, None)
+        if seen is not None:
+            fresh = fresh[fresh["bar_ms"] > seen]
+        if fresh.empty:
+            return
+        averages = []
+        for close in fresh["close"]:
+            ema = close if ema is None else self._decay * ema + (1.0 - self._decay) * close
+            averages.append(ema)
+        self._last.update((float(ema), int(fresh["bar_ms"].iloc[-1])))
+        yield pd.DataFrame({"symbol": key[0], "bar_ms": fresh["bar_ms"].to_numpy(),
+                            "close": fresh["close"].to_numpy(), "ema": averages})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_ema(closed_bars: DataFrame, span: int = 12) -> DataFrame:
+    """``closed_bars`` is a stream of (symbol, bar_ms, close): one row per symbol and slot, so no
+    symbol can outgrow the others."""
+    return (closed_bars.groupBy("symbol").transformWithStateInPandas(
+        statefulProcessor=EmaProcessor(span), outputStructType=OUTPUT, outputMode="Append",
+        timeMode="None"))

@@ -2,8 +2,8 @@
 
 Feed keys differ only by case, and "absent", "null" and "not a number" mean different things. A
 field is read as text (NULL for absent and for null) plus an ``absent`` flag. Rendering a VARIANT
-back to JSON costs far more than reading from it, so types are asked for only where the text
-leaves them open.
+back to JSON, and looking up a key that is not there, cost far more than reading one that is: types
+are asked for only where the text leaves them open, keys only where the event type has them.
 """
 
 from __future__ import annotations
@@ -27,21 +27,37 @@ def boxed(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
 
 
-def intact(box: str) -> Column:
+def intact(box: str, text: str) -> Column:
+    """The marker is where it belongs; text that holds the marker itself must not have moved it."""
     return F.expr(f"try_variant_get({box}, '$[1]', 'string') <=> '{_END}' "
-                  f"AND variant_get({box}, '$[2]', 'variant') IS NULL")
+                  f"AND (NOT contains({text}, '{_END}') "
+                  f"OR variant_get({box}, '$[2]', 'variant') IS NULL)")
+
+
+def may_hold(text: str, *keys: str) -> str:
+    """SQL that is false only where ``text`` cannot have all ``keys``.
+
+    Looking up a missing VARIANT path is slow, a substring test is not. Escaped keys pass.
+    """
+    plain = " AND ".join(f"""contains({text}, '"{key}"')""" for key in keys)
+    return f"(({plain}) OR contains({text}, r'\\u'))"
 
 
 def field(body: str, path: str) -> Column:
     return F.expr(f"variant_get({body}, '$.{path}', 'variant')")
 
 
-def text_of(body: str, path: str) -> Column:
-    return F.expr(f"try_variant_get({body}, '$.{path}', 'string')")
+def _path(path: str | None) -> str:
+    return f"$.{path}" if path else "$"
+
+
+def text_of(body: str, path: str | None) -> Column:
+    """Scalar as text; NULL for absent and for JSON null. No path means the value itself."""
+    return F.expr(f"try_variant_get({body}, '{_path(path)}', 'string')")
 
 
-def long_of(body: str, path: str) -> Column:
-    return F.expr(f"try_variant_get({body}, '$.{path}', 'bigint')")
+def long_of(body: str, path: str | None) -> Column:
+    return F.expr(f"try_variant_get({body}, '{_path(path)}', 'bigint')")
 
 
 def is_kind(value: Column, kind: str) -> Column:

@@ -28,10 +28,11 @@ def _with_body(messages: DataFrame, text: str) -> DataFrame:
     """Unwrap ``{"stream", "data"}``; anything else is its own body."""
     return (messages
             .withColumn("_box", fj.boxed(F.col(text)))
-            .withColumn("_valid", fj.intact("_box"))
-            .withColumns({
-                "_stream": F.expr("variant_get(_box, '$[0].stream', 'variant')"),
-                "_data": F.expr("variant_get(_box, '$[0].data', 'variant')")})
+            .withColumn("_valid", fj.intact("_box", text))
+            .withColumn("_enveloped", F.expr(f"_valid AND {fj.may_hold(text, 'stream', 'data')}"))
+            .withColumns({key: F.expr(f"CASE WHEN _enveloped THEN "
+                                      f"variant_get(_box, '$[0].{key[1:]}', 'variant') END")
+                          for key in ("_stream", "_data")})
             .withColumn("_wrapped", F.expr("_stream IS NOT NULL AND _data IS NOT NULL"))
             .withColumns({
                 "_body": F.expr("CASE WHEN NOT _valid THEN NULL WHEN _wrapped THEN _data "
@@ -53,17 +54,25 @@ def _with_fields(rows: DataFrame) -> DataFrame:
                       f"THEN variant_get(_body, '$.{feed_key}', 'variant') END")
 
     both, ticker = f"'{fv.TRADE}', '{fv.TICKER}'", f"'{fv.TICKER}'"
-    missing = {f"_no_{c}": fj.field("_body", c).isNull() for c in ("s", "t", "k")}
     return (rows
+            .withColumn("_type", F.expr("variant_get(_body, '$.e', 'variant')"))
+            .withColumns({
+                "stream_type": F.expr("CASE WHEN _type IS NULL THEN 'unknown' "
+                                      "ELSE try_variant_get(_type, '$', 'string') END"),
+                "_s": fj.field("_body", "s"), "_E": fj.field("_body", "E")})
             .withColumns({
-                "stream_type": F.expr("CASE WHEN variant_get(_body, '$.e', 'variant') IS NULL "
-                                      "THEN 'unknown' ELSE try_variant_get(_body, '$.e', "
-                                      "'string') END"),
-                "_symbol": fj.text_of("_body", "s"), "_time": fj.long_of("_body", "E"),
-                "_k": fj.field("_body", "k"), "_no_E": fj.field("_body", "E").isNull(), **missing,
-                "_is_depth": F.expr("variant_get(_body, '$.bids', 'variant') IS NOT NULL "
-                                    "AND variant_get(_body, '$.asks', 'variant') IS NOT NULL"),
+                "_symbol": fj.text_of("_s", None), "_time": fj.long_of("_E", None),
+                "_k": F.expr(f"CASE WHEN stream_type = '{fv.KLINE}' "
+                             f"THEN variant_get(_body, '$.k', 'variant') END"),
+                "_no_s": F.col("_s").isNull(), "_no_E": F.col("_E").isNull(),
+                "_no_t": F.expr(f"stream_type = '{fv.TRADE}' "
+                                f"AND variant_get(_body, '$.t', 'variant') IS NULL"),
+                "_is_depth": F.expr(
+                    f"stream_type = 'unknown' AND {fj.may_hold('raw_data', 'bids', 'asks')} "
+                    "AND variant_get(_body, '$.bids', 'variant') IS NOT NULL "
+                    "AND variant_get(_body, '$.asks', 'variant') IS NOT NULL"),
             })
+            .withColumn("_no_k", F.col("_k").isNull())
             .withColumns(dict(zip(_VALUES, [
                 slot("p", "o", both), slot("q", "h", both), slot("P", "l", ticker),
                 slot("c", "c", ticker), slot("v", "v", ticker)])))
@@ -90,7 +99,7 @@ def _reason() -> Column:
     bad_kline = ~col("_no_k") & (~(any_bar_field | fj.is_kind(col("_k"), "OBJECT"))
                                  | F.expr(number_missing))
     text_symbol = (symbol.rlike("^[A-Za-z]") & ~symbol.isin("true", "false")) \
-        | fj.is_kind(fj.field("_body", "s"), "STRING")
+        | fj.is_kind(col("_s"), "STRING")
     return (F.when(~col("_valid"), "invalid_json")
             .when(~is_object, "not_an_object")
             .when(stream_type.isin(fv.TRADE, fv.TICKER) & F.expr(number_missing),
@@ -99,7 +108,7 @@ def _reason() -> Column:
             .when(~col("_no_s") & symbol.isNull(), "null_symbol")
             .when(~col("_no_s") & ~text_symbol, "invalid_symbol")
             .when(~col("_no_E") & col("_time").isNull(),
-                  F.when(fj.text_of("_body", "E").isNull(), "null_event_time")
+                  F.when(fj.text_of("_E", None).isNull(), "null_event_time")
                   .otherwise("invalid_event_time")))
 
 
@@ -159,8 +168,7 @@ def normalize(messages: DataFrame, text: str = "message", received: str | None =
         _score().alias("_score")))
     ok, kind = F.col("reject_reason").isNull(), F.col("event_kind")
     rows = (parsed
-            .withColumn("event_kind", F.when(F.col("_is_depth")
-                                             & (F.col("stream_type") == "unknown"), fv.DEPTH)
+            .withColumn("event_kind", F.when(F.col("_is_depth"), fv.DEPTH)
                         .otherwise(F.col("stream_type")))
             .select(
                 *keep, "raw_text", "reject_reason", "stream_type", "received_time", "event_kind",

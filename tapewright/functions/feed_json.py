@@ -74,9 +74,8 @@ def number(text: Column, value: Column) -> Column:
             .otherwise(digits.try_cast("double")))
 
 
-def levels(body: str, path: str) -> Column:
-    """``[[price, qty], ...]`` as ARRAY<STRUCT<price, qty>>; NULL when it has another shape."""
-    pairs = F.try_variant_get(F.col(body), f"$.{path}", "array<array<string>>")
+def levels(pairs: str) -> Column:
+    """``[[price, qty], ...]`` as ARRAY<STRUCT<price, qty>>."""
     return F.transform(pairs, lambda pair: F.struct(
         F.get(pair, 0).try_cast("double").alias("price"),
         F.get(pair, 1).try_cast("double").alias("qty")))

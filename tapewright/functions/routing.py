@@ -28,7 +28,7 @@ def timestamp_of(epoch_ms: Column) -> Column:
 
 
 def day_of(epoch_ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(epoch_ms), "yyyy-MM-dd")
+    return F.timestamp_millis(epoch_ms).cast("date").cast("string")
 
 
 def with_event_date_parts(df):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapewright import feed_values as fv
 from tapewright.functions import feed_json as fj
-from tapewright.functions.quality import quality_score
+from tapewright.functions.quality import common_score, quality_score
 from tapewright.functions.routing import day_of, stable_record_id, topic_name
 
 HEADER = ["record_id", "symbol", "stream_type", "stream_name", "event_time", "received_time",
@@ -81,7 +81,11 @@ def _with_fields(rows: DataFrame) -> DataFrame:
             .withColumns({**{number: fj.number(F.col(text), F.col(value)) for value, text, number
                              in zip(_VALUES, _TEXTS, _NUMBERS)},
                           **{missing: F.col(value).isNull()
-                             for value, missing in zip(_VALUES, _MISSING)}}))
+                             for value, missing in zip(_VALUES, _MISSING)}})
+            .withColumns({
+                "_bad_number": F.expr(" OR ".join(f"{name} IS NULL" for name in _NUMBERS)),
+                "_any_field": F.expr(" OR ".join(f"NOT {name}" for name in _MISSING)),
+                "_base": common_score(F.col("_no_E"), F.col("_no_s"))}))
 
 
 def _reason() -> Column:
@@ -92,18 +96,15 @@ def _reason() -> Column:
     """
     col = F.col
     stream_type, symbol = col("stream_type"), col("_symbol")
-    number_missing = " OR ".join(f"{name} IS NULL" for name in _NUMBERS)
-    any_bar_field = F.expr(" OR ".join(f"NOT {name}" for name in _MISSING))
     plain_body = ~(col("_no_s") & col("_no_E"))
     is_object = plain_body | fj.is_kind(col("_body"), "OBJECT")
-    bad_kline = ~col("_no_k") & (~(any_bar_field | fj.is_kind(col("_k"), "OBJECT"))
-                                 | F.expr(number_missing))
+    bad_kline = ~col("_no_k") & (~(col("_any_field") | fj.is_kind(col("_k"), "OBJECT"))
+                                 | col("_bad_number"))
     text_symbol = (symbol.rlike("^[A-Za-z]") & ~symbol.isin("true", "false")) \
         | fj.is_kind(col("_s"), "STRING")
     return (F.when(~col("_valid"), "invalid_json")
             .when(~is_object, "not_an_object")
-            .when(stream_type.isin(fv.TRADE, fv.TICKER) & F.expr(number_missing),
-                  "invalid_number")
+            .when(stream_type.isin(fv.TRADE, fv.TICKER) & col("_bad_number"), "invalid_number")
             .when((stream_type == fv.KLINE) & bad_kline, "invalid_kline")
             .when(~col("_no_s") & symbol.isNull(), "null_symbol")
             .when(~col("_no_s") & ~text_symbol, "invalid_symbol")
@@ -113,8 +114,8 @@ def _reason() -> Column:
 
 
 def _score() -> Column:
-    return quality_score(F.col("stream_type"), F.col("_no_E"), F.col("_no_s"), F.col("_no_t"),
-                         F.col("_no_k"), [F.col(c) for c in _MISSING],
+    return quality_score(F.col("stream_type"), F.col("_base"), F.col("_no_t"), F.col("_no_k"),
+                         [F.col(c) for c in _MISSING],
                          [F.col(c) for c in _NUMBERS])
 
 
@@ -166,7 +167,7 @@ def normalize(messages: DataFrame, text: str = "message", received: str | None =
         *keep, "raw_text", "received_time", "raw_data", "stream_type", "_body", "_k", "_name",
         "_symbol", "_time", "_is_depth", *_NUMBERS, _reason().alias("reject_reason"),
         _score().alias("_score")))
-    ok, kind = F.col("reject_reason").isNull(), F.col("event_kind")
+    ok = F.col("reject_reason").isNull()
     rows = (parsed
             .withColumn("event_kind", F.when(F.col("_is_depth"), fv.DEPTH)
                         .otherwise(F.col("stream_type")))
@@ -176,8 +177,6 @@ def normalize(messages: DataFrame, text: str = "message", received: str | None =
                 F.when(ok, F.coalesce("_symbol", F.lit("UNKNOWN"))).alias("symbol"),
                 F.when(ok, F.coalesce("_time", "received_time")).alias("event_time"),
                 F.when(ok, F.col("_score")).otherwise(0.0).alias("data_quality_score"),
-                F.when(kind == fv.DEPTH, fj.levels("_body", "bids")).alias("bids"),
-                F.when(kind == fv.DEPTH, fj.levels("_body", "asks")).alias("asks"),
                 *[value.alias(name) for name, value in _typed().items()]))
     if record_id == "uuid":
         rid = F.expr("uuid()")
@@ -208,7 +207,17 @@ def dead_letters(normalized: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 
 def typed_rows(normalized: DataFrame, stream_type: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The typed bronze projection of one event type."""
-    columns = {fv.TRADE: TRADE_COLUMNS, fv.TICKER: TICKER_COLUMNS, fv.KLINE: KLINE_COLUMNS,
-               fv.DEPTH: ["bids", "asks"]}[stream_type]
-    return (accepted(normalized).filter(F.col("event_kind") == stream_type)
-            .select(*keep, *HEADER, *columns))
+    rows = accepted(normalized).filter(F.col("event_kind") == stream_type)
+    if stream_type == fv.DEPTH:
+        return with_levels(rows).select(*keep, *HEADER, "bids", "asks")
+    columns = {fv.TRADE: TRADE_COLUMNS, fv.TICKER: TICKER_COLUMNS,
+               fv.KLINE: KLINE_COLUMNS}[stream_type]
+    return rows.select(*keep, *HEADER, *columns)
+
+
+def with_levels(depth_rows: DataFrame) -> DataFrame:
+    """Order-book sides as ARRAY<STRUCT<price, qty>>."""
+    pairs = F.from_json("raw_data", "bids array<array<string>>, asks array<array<string>>")
+    return (depth_rows.withColumn("_pairs", pairs)
+            .withColumns({side: fj.levels(f"_pairs.{side}") for side in ("bids", "asks")})
+            .drop("_pairs"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright import feed_values as fv
-from tapewright.functions.routing import topic_name, with_event_date_parts
+from tapewright.functions.routing import day_of, topic_name, with_event_date_parts
 from tapewright.operators import bronze, envelope, subscriptions, topics
 from tapewright.plans.check_views import over
 from tapewright.plans.envelope_queries import klines, messages, normalized
@@ -35,7 +35,7 @@ def trade_records(rows: DataFrame) -> DataFrame:
     return rows.withColumns({
         "record_id": F.sha2(F.concat_ws("|", "symbol", F.lit(fv.TRADE),
                                         F.col("trade_id").cast("string")), 256),
-        "date": F.date_format(F.timestamp_millis("event_time"), "yyyy-MM-dd")})
+        "date": day_of(F.col("event_time"))})
 
 
 @query("bronze_scan_count", over("ids", "SELECT topic, count(*) AS n FROM log GROUP BY topic", LOG))
@@ -135,7 +135,7 @@ SELECT event_kind, count(*) AS n, count(p_value) FILTER (WHERE event_kind = 'tra
 FROM ids WHERE reject_reason IS NULL AND event_kind <> 'unknown' GROUP BY event_kind"""))
 def bronze_union_types(spark, folder):
     """Four typed tables stored one by one, read back as one relation."""
-    rows = envelope.accepted(normalized(spark, folder))
+    rows = envelope.with_levels(envelope.accepted(normalized(spark, folder)))
     path = fresh_path(spark, "bronze_typed")
     (rows.select("event_kind", *envelope.HEADER, *envelope.TRADE_COLUMNS, "last_price", "close",
                  "bids").hint("rebalance", "event_kind")

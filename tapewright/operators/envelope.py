@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapewright import feed_values as fv
 from tapewright.functions import feed_json as fj
+from tapewright.functions.barrier import barrier
 from tapewright.functions.quality import common_score, quality_score
 from tapewright.functions.routing import day_of, stable_record_id, topic_name
 
@@ -46,7 +47,7 @@ def _with_body(messages: DataFrame, text: str) -> DataFrame:
 
 
 def _with_fields(rows: DataFrame) -> DataFrame:
-    """Header fields, then the numeric fields of the event type in five shared slots."""
+    """Header fields, and the numeric fields of the event type in five shared slots."""
     def slot(feed_key: str, bar_key: str, types: str) -> Column:
         return F.expr(f"CASE WHEN stream_type = '{fv.KLINE}' "
                       f"THEN variant_get(_k, '$.{bar_key}', 'variant') "
@@ -72,20 +73,26 @@ def _with_fields(rows: DataFrame) -> DataFrame:
                     "AND variant_get(_body, '$.bids', 'variant') IS NOT NULL "
                     "AND variant_get(_body, '$.asks', 'variant') IS NOT NULL"),
             })
-            .withColumn("_no_k", F.col("_k").isNull())
+            .withColumns({"_no_k": F.col("_k").isNull(),
+                          "_plain_symbol": F.expr("_symbol RLIKE '^[A-Za-z]' "
+                                                  "AND _symbol NOT IN ('true', 'false')"),
+                          "_base": common_score(F.col("_no_E"), F.col("_no_s"))})
             .withColumns(dict(zip(_VALUES, [
                 slot("p", "o", both), slot("q", "h", both), slot("P", "l", ticker),
                 slot("c", "c", ticker), slot("v", "v", ticker)])))
             .withColumns({text: F.expr(f"try_variant_get({value}, '$', 'string')")
-                          for value, text in zip(_VALUES, _TEXTS)})
+                          for value, text in zip(_VALUES, _TEXTS)}))
+
+
+def _with_numbers(rows: DataFrame) -> DataFrame:
+    return (rows
             .withColumns({**{number: fj.number(F.col(text), F.col(value)) for value, text, number
                              in zip(_VALUES, _TEXTS, _NUMBERS)},
                           **{missing: F.col(value).isNull()
                              for value, missing in zip(_VALUES, _MISSING)}})
             .withColumns({
                 "_bad_number": F.expr(" OR ".join(f"{name} IS NULL" for name in _NUMBERS)),
-                "_any_field": F.expr(" OR ".join(f"NOT {name}" for name in _MISSING)),
-                "_base": common_score(F.col("_no_E"), F.col("_no_s"))}))
+                "_any_field": F.expr(" OR ".join(f"NOT {name}" for name in _MISSING))}))
 
 
 def _reason() -> Column:
@@ -100,8 +107,7 @@ def _reason() -> Column:
     is_object = plain_body | fj.is_kind(col("_body"), "OBJECT")
     bad_kline = ~col("_no_k") & (~(col("_any_field") | fj.is_kind(col("_k"), "OBJECT"))
                                  | col("_bad_number"))
-    text_symbol = (symbol.rlike("^[A-Za-z]") & ~symbol.isin("true", "false")) \
-        | fj.is_kind(col("_s"), "STRING")
+    text_symbol = col("_plain_symbol") | fj.is_kind(col("_s"), "STRING")
     return (F.when(~col("_valid"), "invalid_json")
             .when(~is_object, "not_an_object")
             .when(stream_type.isin(fv.TRADE, fv.TICKER) & col("_bad_number"), "invalid_number")
@@ -119,12 +125,6 @@ def _score() -> Column:
                          [F.col(c) for c in _NUMBERS])
 
 
-def _barrier(rows: DataFrame) -> DataFrame:
-    """Each row unchanged, through a generator: a later filter on a computed column stays above
-    it instead of being pushed down as a second copy of the whole parse."""
-    return rows.select(F.inline(F.array(F.struct("*"))))
-
-
 def _typed() -> dict[str, Column]:
     """SQL per typed column; a column of another event type is NULL."""
     def when(types: tuple[str, ...], value: str) -> Column:
@@ -160,12 +160,17 @@ def normalize(messages: DataFrame, text: str = "message", received: str | None =
     ``"stable"`` (derived from the message) or ``"uuid"`` (new on every read).
     """
     clock = F.col(received) if received else F.unix_millis(F.current_timestamp())
-    parsed = _with_fields(_with_body(
+    header = ["raw_text", "received_time", "raw_data", "stream_type", "_body", "_k", "_name",
+              "_symbol", "_time", "_is_depth"]
+    read = _with_fields(_with_body(
         messages.select(*keep, F.col(text).alias("raw_text"), clock.alias("received_time")),
         "raw_text"))
-    parsed = _barrier(parsed.select(
-        *keep, "raw_text", "received_time", "raw_data", "stream_type", "_body", "_k", "_name",
-        "_symbol", "_time", "_is_depth", *_NUMBERS, _reason().alias("reject_reason"),
+    # The two barriers also keep each generated method small enough for the JIT compiler.
+    parsed = _with_numbers(barrier(read.select(
+        *keep, *header, "_valid", "_s", "_E", "_no_s", "_no_E", "_no_t", "_no_k", "_base",
+        "_plain_symbol", *_VALUES, *_TEXTS)))
+    parsed = barrier(parsed.select(
+        *keep, *header, *_NUMBERS, _reason().alias("reject_reason"),
         _score().alias("_score")))
     ok = F.col("reject_reason").isNull()
     rows = (parsed

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapewright import feed_values as fv
+from tapewright.functions.barrier import barrier
 from tapewright.functions.routing import bar_of, topic_name
 from tapewright.operators import envelope
 
@@ -107,7 +108,7 @@ def raw_messages(events: DataFrame) -> DataFrame:
     stamp, name = _bare("E", "event_time"), _text("s", "symbol")
     invalid_price = _pairs(stamp, """'"p":"invalid_price"'""", """'"q":"0.001"'""", name)
     body = f"""CASE event_type WHEN 'click' THEN {trade} WHEN 'view' THEN {ticker}
-        WHEN 'purchase' THEN {kline} WHEN 'signup' THEN {depth}
+        WHEN 'purchase' THEN {kline} WHEN 'signup' THEN _depth
         ELSE CASE event_id % 6
           WHEN 0 THEN 'invalid json string {{{{{{'
           WHEN 1 THEN concat('{{"data":', {_pairs(stamp, name)}, '}}')
@@ -119,15 +120,18 @@ def raw_messages(events: DataFrame) -> DataFrame:
         WHEN 'purchase' THEN '@kline_1m' WHEN 'signup' THEN '@depth5@100ms' ELSE '@trade' END"""
     wrapped = "(event_type = 'error' AND event_id % 6 >= 3) OR (event_type <> 'error' " \
               "AND event_id % 2 = 0)"
-    return (base_events(events)
+    rows = (barrier(base_events(events))
             .withColumns({"price": F.expr("cast(value as decimal(18,2))"),
                           "size": F.expr("cast(k + 1 as decimal(18,2))")})
             .withColumns({key: F.expr(value) for key, value in shared.items()})
+            .withColumn("_depth", F.expr(f"CASE WHEN event_type = 'signup' THEN {depth} END")))
+    rows = (barrier(rows)
             .select("event_id", "user_id", "event_type", "received_time", "symbol",
                     F.expr(body).alias("_body"))
             .select("event_id", "user_id", "received_time", F.expr(
                 f"""CASE WHEN {wrapped} THEN concat('{{"stream":"', lower(symbol), {suffix},
                     '","data":', _body, '}}') ELSE _body END""").alias("message")))
+    return barrier(rows)
 
 
 def message_log(messages: DataFrame) -> DataFrame:

@@ -255,11 +255,10 @@ def macd(spark, folder):
         "symbol", start(), *six("macd", "signal", "histogram"))
 
 
-@query("rsi", _recursive(
-    f"""SELECT symbol, {SQL_START}, {sql6('''CASE WHEN up = 0 AND down = 0 THEN 50.0::DOUBLE
+_RSI_VALUE = """CASE WHEN up = 0 AND down = 0 THEN 50.0::DOUBLE
        WHEN down = 0 THEN 100.0::DOUBLE ELSE 100.0::DOUBLE - 100.0::DOUBLE / (1.0::DOUBLE + up / down)
-       END''')} AS rsi
-FROM pos LEFT JOIN w USING (symbol, pos)""",
+       END"""
+_WILDER = (
     "moves AS (SELECT *, greatest(close - prior, 0) AS gain, greatest(prior - close, 0) AS loss "
     "FROM pos WHERE pos > 0)",
     """w AS (
@@ -267,7 +266,12 @@ FROM pos LEFT JOIN w USING (symbol, pos)""",
   GROUP BY symbol HAVING count(*) = 14
   UNION ALL
   SELECT m.symbol, m.pos, (w.up * 13 + m.gain) / 14, (w.down * 13 + m.loss) / 14
-  FROM w JOIN moves m ON m.symbol = w.symbol AND m.pos = w.pos + 1)"""))
+  FROM w JOIN moves m ON m.symbol = w.symbol AND m.pos = w.pos + 1)""")
+
+
+@query("rsi", _recursive(f"""
+SELECT symbol, {SQL_START}, {sql6(_RSI_VALUE)} AS rsi FROM pos LEFT JOIN w USING (symbol, pos)""",
+                         *_WILDER))
 def rsi(spark, folder):
     return indicators.rsi(hourly(spark, folder), "1h").select("symbol", start(), *six("rsi"))
 
@@ -292,22 +296,28 @@ def anomaly_zscore(spark, folder):
         "symbol", start(), *six("zscore"), "is_anomaly")
 
 
+_CROSS = (
+    f"""means AS (SELECT *, CASE WHEN pos >= 4 THEN avg(close) {_lead(5)} END AS f,
+               CASE WHEN pos >= 19 THEN avg(close) {_lead(20)} END AS s FROM pos)""",
+    f"""crossed AS (SELECT *, CAST(CASE WHEN f > s AND before <= 0 THEN 1
+         WHEN f < s AND before >= 0 THEN -1 ELSE 0 END AS INTEGER) AS cross_signal
+       FROM (SELECT *, lag(sign(f - s)) {BY}) AS before FROM means))""")
+
+
 @query("trading_signals", over("trades", f"""
-, m AS (SELECT *, CASE WHEN pos >= 4 THEN avg(close) {_lead(5)} END AS f,
-               CASE WHEN pos >= 19 THEN avg(close) {_lead(20)} END AS s FROM pos),
-side AS (SELECT *, lag(sign(f - s)) {BY}) AS before FROM m)
-SELECT symbol, {SQL_START}, {sql6("f")} AS sma_fast, {sql6("s")} AS sma_slow,
-       CAST(CASE WHEN f > s AND before <= 0 THEN 1 WHEN f < s AND before >= 0 THEN -1 ELSE 0 END
-            AS INTEGER) AS cross_signal
-FROM side""", HOURLY, _POS))
+SELECT symbol, {SQL_START}, {sql6("f")} AS sma_fast, {sql6("s")} AS sma_slow, cross_signal
+FROM crossed""", HOURLY, _POS, *_CROSS))
 def trading_signals(spark, folder):
     return indicators.crossings(hourly(spark, folder), "1h").select(
         "symbol", start(), *six("sma_fast", "sma_slow"), "cross_signal")
 
 
-@query("rsi_signals")
+@query("rsi_signals", _recursive(f"""
+SELECT symbol, {SQL_START}, cross_signal, CAST(CASE WHEN strength < 30 THEN 1
+       WHEN strength > 70 THEN -1 ELSE 0 END AS INTEGER) AS rsi_signal
+FROM crossed LEFT JOIN (SELECT symbol, pos, {_RSI_VALUE} AS strength FROM w) USING (symbol, pos)
+""", *_CROSS, *_WILDER))
 def rsi_signals(spark, folder):
-    """Crossings and RSI extremes together; both parts have checks of their own."""
     return indicators.signals(hourly(spark, folder), "1h").select(
         "symbol", start(), "cross_signal", "rsi_signal")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapewright.functions.routing import day_of
@@ -28,11 +29,10 @@ def daily_returns(spark, folder) -> DataFrame:
 
 
 def equal_weights(returns: DataFrame) -> DataFrame:
-    """One over the number of symbols traded; the total is one row."""
-    traded = returns.select("symbol").distinct()
-    total = traded.agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1))
-    return (traded.withColumn("_one", F.lit(1)).join(total, "_one")
-            .select("symbol", (F.lit(1.0) / F.col("_n")).alias("weight")))
+    """One over the number of symbols traded; the window sees one row a symbol."""
+    everything = W.partitionBy(F.lit(0))
+    return returns.select("symbol").distinct().select(
+        "symbol", (F.lit(1.0) / F.count("*").over(everything)).alias("weight"))
 
 
 def _check(body: str, *views: str) -> str:

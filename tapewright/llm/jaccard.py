@@ -5,9 +5,10 @@ partner are first partitioned into groups around pivots, each link checked. The
 which group has which posted token; a query's overlap with a group's token union bounds its overlap
 with any member, and only groups whose bound reaches what a link needs are opened and checked.
 
-Let n be a set's size. Linked sets share 4/5 of the larger, so among the n/5 + 1 + m least tokens of
+Let n be a set's size and m = n/10. Linked sets share 4/5 of the larger; among the n/5 + 1 + m least of
 both at least m + 1 are shared (prefix filtering). Tokens in very many groups are not counted but
-added to the bound; sets that mostly post such tokens are compared through them among themselves.
+added to the bound; sets that mostly post such tokens are compared among themselves by their
+rarest tokens.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewright.llm import textbytes as tb
@@ -25,16 +26,18 @@ from tapewright.llm.tables import stage
 
 SHINGLE = 5
 # Tokens in more groups than this are bounded instead of counted. No result depends on it.
-COMMON_GROUPS = 50
+COMMON_GROUPS = 20
 # Sets of one map batch that post a token before it goes around the token's own task.
 COMMON_HERE = 64
+# Members of a group, and queries, that are compared in one call.
+PART = 256
 # Documents whose postings one token range should hold.
 RANGE_DOCS = 32768
 _ROW_BITS, _TOKEN_BITS = 10, 54
 
 
 def _spare(n):
-    return n // 50 + 1
+    return n // 10 + 1
 
 
 def _posted(n):
@@ -156,7 +159,7 @@ def _shared(table: pa.Table) -> pa.Table:
 
 def _need(n: Column) -> Column:
     """Posted tokens that a set of this size shares with any partner: the spare of the smaller, plus one."""
-    return F.floor(F.floor((4 * n + 4) / 5) / 50) + 2
+    return F.floor(F.floor((4 * n + 4) / 5) / 10) + 2
 
 
 def _fetch(size: int):
@@ -211,10 +214,11 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), described.count() // RANGE_DOCS)
     shared = stage(
         narrow.select("text").mapInArrow(_post(size, ranges), "range long, entries binary, sigs binary")
-        .groupBy("range").applyInArrow(_shared, "token long, sig long, n long").distinct(), "jaccard-shared")
+        .groupBy("range").applyInArrow(_shared, "token long, sig long, n long"), "jaccard-shared")
     # Sets that share too few posted tokens with all others together have no partner.
-    able = shared.groupBy("sig", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= _need(F.col("n")))
-    postings = stage(shared.join(able.select("sig", "n"), ["sig", "n"], "left_semi"), "jaccard-postings")
+    of_set = Window.partitionBy("sig")
+    postings = stage(shared.withColumn("c", F.count("*").over(of_set))
+                     .filter(F.col("c") >= _need(F.col("n"))).drop("c"), "jaccard-postings")
     reps = (described.join(postings.select("sig").distinct(), "sig", "left_semi").groupBy("sig")
             .agg(F.min(F.struct("doc_id", "text_key")).alias("rep")).select("sig", "rep.*"))
     sets = stage(
@@ -222,32 +226,34 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
                                & (F.col("d.text_key") == F.col("r.text_key")))
         .select("r.sig", "d.text").mapInArrow(_fetch(size), "sig long, tokens binary"), "jaccard-tokens")
 
-    # Groups: every set against the pivot it shares most tokens with; a token's pivot is its least set.
-    pivots = postings.groupBy("token").agg(F.min("sig").alias("pivot"))
-    best = (postings.join(pivots, "token").filter("sig <> pivot").groupBy("sig", "pivot")
+    # Groups: every set against the pivot it shares most tokens with. A token's pivot is the set whose
+    # own tokens are the most widespread for its size: the original rather than one of its edits.
+    spread = postings.groupBy("token").agg(F.count("*").alias("f"))
+    counted = postings.join(spread, "token")
+    weighed = counted.groupBy("sig").agg((F.sum("f") / F.max("n")).alias("w"))
+    heavy = stage(postings.join(weighed, "sig"), "jaccard-weights")
+    pivots = heavy.groupBy("token").agg(F.max(F.struct("w", "sig")).alias("p")).select("token", F.col("p.sig").alias("pivot"))
+    best = (heavy.join(pivots, "token").filter("sig <> pivot").groupBy("sig", "pivot")
             .agg(F.count("*").alias("c")).groupBy("sig").agg(F.max_by("pivot", "c").alias("pivot")))
     close = stage(_verify(best.select(F.col("sig").alias("a"), F.col("pivot").alias("b")), sets, percent),
                   "jaccard-links")
     roots = components(close, "a", "b")
     members = postings.select("sig", "n").distinct().join(
         roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    sizes = members.groupBy("root").agg(F.count("*").alias("members"))
+    sizes = members.groupBy("root").agg(
+        F.count("*").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
     members = stage(members.join(sizes, "root"), "jaccard-groups")
 
     # The matrix: distinct (token, group), without tokens of one group.
-    rows = postings.join(members.select("sig", "root", "members"), "sig")
-    matrix = rows.select("token", "root", "members").distinct()
-    spread = matrix.groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1")
+    rows = postings.join(members.select("sig", "root", "members", "least_n", "most_n"), "sig")
+    spread = rows.select("token", "root").distinct().groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1")
     rows = stage(rows.join(spread, "token").withColumn("common", F.col("groups") > COMMON_GROUPS), "jaccard-matrix")
     uncounted = rows.groupBy("sig").agg(F.sum(F.col("common").cast("int")).alias("uncounted"))
     rows = rows.join(uncounted, "sig").withColumn("must", _need(F.col("n")) - F.col("uncounted"))
     by_count = _bounded(rows.filter("not common"))
-    by_common = _bounded(rows.filter("common and must <= 0"))
-    opened = by_count.union(by_common).distinct()
-    inside = members.select("root", F.col("sig").alias("b"), F.col("n").alias("nb"))
-    pairs = (opened.join(inside, "root").filter("5 * least(n, nb) >= 4 * greatest(n, nb)")
-             .select(F.col("sig").alias("a"), "b"))
-    far = _verify(pairs, sets, percent)
+    crowded = rows.filter("must <= 0").select("sig", "n", "root").distinct()
+    opened = by_count.union(_rarest(crowded, sets)).distinct()
+    far = _open(stage(opened, "jaccard-opened"), members, sets, percent)
     final = components(close.union(far), "a", "b").withColumnRenamed("node", "sig")
     rooted = described.join(final, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     rooted = stage(rooted.select("doc_id", "text_key", "n", "root"), "jaccard-rooted")
@@ -260,13 +266,90 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
 def _bounded(rows: DataFrame) -> DataFrame:
     """Queries and the groups their bound lets open: (sig, n, root).
 
-    Of two groups the smaller sends its members as queries to the larger one.
+    Of two groups the smaller sends its members as queries to the larger one. Groups without a
+    member of fitting size are no candidates.
     """
-    query = rows.select("token", "sig", "n", "must", F.struct("members", "root").alias("mine"))
-    group = rows.select("token", F.struct("members", "root").alias("other")).distinct()
-    return (query.join(group, "token").filter("other > mine").groupBy("sig", "n", "must", "other")
-            .agg(F.count("*").alias("overlap")).filter(F.col("overlap") >= F.greatest("must", F.lit(1)))
-            .select("sig", "n", F.col("other.root").alias("root")))
+    query = rows.select("token", "sig", "n", "must", F.col("members").alias("mine"), F.col("root").alias("own"))
+    group = rows.select("token", "root", "members", "least_n", "most_n").distinct()
+    return (query.join(group, "token")
+            .filter("(members > mine or members = mine and root > own) "
+                    "and 5 * most_n >= 4 * n and 4 * least_n <= 5 * n")
+            .groupBy("sig", "root").agg(F.count("*").alias("overlap"), F.max("n").alias("n"), F.max("must").alias("must"))
+            .filter(F.col("overlap") >= F.greatest("must", F.lit(1))).select("sig", "n", "root"))
+
+
+def _unpack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in rows:
+        for k, packed in enumerate(batch.column(3).to_pylist()):
+            tokens = np.frombuffer(packed, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.full(len(tokens), batch.column(c)[k].as_py())) for c in range(3)),
+                 pa.array(tokens)], ["sig", "n", "root", "token"])
+
+
+def _compare(percent: int):
+    """Links between the queries and the members of one part of a group: one for each query at most."""
+    def links(queries: pa.Table, members: pa.Table) -> pa.Table:
+        out = []
+        if queries.num_rows and members.num_rows:
+            names = members.column("b").to_pylist()
+            own = [np.frombuffer(t, np.int64) for t in members.column("held").to_pylist()]
+            sizes = np.array([len(t) for t in own])
+            flat, first = np.concatenate(own), np.cumsum(sizes) - sizes
+            for a, packed in zip(queries.column("a").to_pylist(), queries.column("asked").to_pylist()):
+                tokens = np.frombuffer(packed, np.int64)
+                at = np.searchsorted(tokens, flat)
+                at[at == len(tokens)] = 0
+                inter = np.add.reduceat((tokens[at] == flat).astype(np.int64), first)
+                hit = np.flatnonzero(100 * inter >= percent * (len(tokens) + sizes - inter))
+                if len(hit):
+                    out.append((a, names[hit[0]]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
+                         "b": pa.array([y for _, y in out], pa.int64())})
+    return links
+
+
+def _open(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Compare each query with all members of the groups it opens, in parts of bounded size.
+
+    A group is cut into parts of about PART members, and the queries of a group into parts of
+    about PART as well, so neither a large group nor one that all open meets in one task.
+    """
+    keys = ["root", "part", "salt"]
+    asked = opened.groupBy("root").agg(F.count("*").alias("queries"))
+    cuts = (members.select("root", "members").distinct().join(asked, "root")
+            .select("root", F.ceil(F.col("members") / PART).alias("parts"), F.ceil(F.col("queries") / PART).alias("salts")))
+    part = F.pmod(F.xxhash64("sig"), F.col("parts")).alias("part")
+    salt = F.pmod(F.xxhash64("sig"), F.col("salts")).alias("salt")
+    queries = (opened.join(cuts, "root").select("sig", "root", salt, F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        .join(sets, "sig").select(*[F.col(c).alias(f"q_{c}") for c in keys], F.col("sig").alias("a"),
+                                  F.col("tokens").alias("asked")))
+    inside = (members.select("sig", "root").join(cuts, "root").select("sig", "root", part, F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+        .join(sets, "sig").select(*[F.col(c).alias(f"m_{c}") for c in keys], F.col("sig").alias("b"),
+                                  F.col("tokens").alias("held")))
+    return queries.groupBy(*[f"q_{c}" for c in keys]).cogroup(
+        inside.groupBy(*[f"m_{c}" for c in keys])).applyInArrow(_compare(percent), "a long, b long")
+
+
+def _rarest(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """Queries and groups among sets whose posted tokens are common: (sig, n, root).
+
+    All their tokens are ordered by how many of these sets have them. Linked sets share one among
+    the n/5 + 1 rarest of both, so a passage that many share is not looked at where a set has
+    enough of its own.
+    """
+    tokens = stage(crowded.join(sets, "sig").select("sig", "n", "root", "tokens").mapInArrow(
+        _unpack, "sig long, n long, root long, token long"), "jaccard-crowded")
+    spread = tokens.groupBy("token").agg(
+        F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high"))
+    rank = F.row_number().over(Window.partitionBy("sig").orderBy("f", "token"))
+    prefix = (tokens.join(spread, "token").withColumn("rank", rank)
+              .filter("rank <= n - floor((4 * n + 4) / 5) + 1 and low <> high").select("token", "sig", "n", "root"))
+    group = prefix.select("token", F.col("root").alias("other")).distinct()
+    return (prefix.join(group, "token").filter("other < root")
+            .select("sig", "n", F.col("other").alias("root")).distinct())
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import byte_bpe, jaccard, line_dedup, mixing, quality, sharding
+from tapewright.llm import (
+    byte_bpe, jaccard, line_dedup, mixing, near_vectors, quality, secret_scan, sharding, surrogates, url_trust,
+)
 from tapewright.session import prepare
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -57,14 +59,49 @@ def shard_tree(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_trust.judge(_table(spark, folder, "pages"))
+
+
+def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace(_table(spark, folder, "documents")).select(
+        "doc_id", F.size("entities").cast("long").alias("n_entities"),
+        F.array_join("entities", ",").alias("entities"), "text")
+
+
+def vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.link(_table(spark, folder, "embeddings")).withColumn(
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": mix_sources,
         "op2_byte_bpe": byte_bpe_round_trip,
         "op3_jaccard_join": jaccard_join,
         "op4_quality_rules": quality_rules,
+        "op5_url_filter": url_filter,
+        "op6_pii_surrogates": pii_surrogates,
         "op7_line_dedup": line_dedup_runs,
+        "op8_vector_near_dedup": vector_near_dedup,
         "op9_shard_tree": shard_tree,
+        "op10_secret_spans": secret_spans,
     }
 
 

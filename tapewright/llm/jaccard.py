@@ -234,14 +234,19 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     heavy = stage(postings.join(weighed, "sig"), "jaccard-weights")
     pivots = heavy.groupBy("token").agg(F.max(F.struct("w", "sig")).alias("p")).select("token", F.col("p.sig").alias("pivot"))
     best = (heavy.join(pivots, "token").filter("sig <> pivot").groupBy("sig", "pivot")
-            .agg(F.count("*").alias("c")).groupBy("sig").agg(F.max_by("pivot", "c").alias("pivot")))
+            .agg(F.count("*").alias("c")).groupBy("sig").agg(F.max(F.struct("c", "pivot")).alias("best"))
+            .select("sig", "best.*"))
+    best = stage(best, "jaccard-pivots")
     close = stage(_verify(best.select(F.col("sig").alias("a"), F.col("pivot").alias("b")), sets, percent),
                   "jaccard-links")
-    roots = components(close, "a", "b")
-    members = postings.select("sig", "n").distinct().join(
-        roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    linked = components(close, "a", "b").select(F.col("node").alias("sig"), F.col("root").alias("part"))
+    # A group is a pivot with the sets that share about half of their posted tokens with it, linked or not.
+    members = (postings.select("sig", "n").distinct().join(best, "sig", "left").join(linked, "sig", "left")
+               .select("sig", "n", F.coalesce("part", "sig").alias("part"),
+                       F.when(20 * F.col("c") >= 3 * F.col("n"), F.col("pivot")).otherwise(F.col("sig")).alias("root")))
     sizes = members.groupBy("root").agg(
-        F.count("*").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+        F.count("*").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
+        F.max(F.when(F.col("sig") == F.col("root"), F.col("part"))).alias("main"))
     members = stage(members.join(sizes, "root"), "jaccard-groups")
 
     # The matrix: distinct (token, group), without tokens of one group.
@@ -252,7 +257,9 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     rows = rows.join(uncounted, "sig").withColumn("must", _need(F.col("n")) - F.col("uncounted"))
     by_count = _bounded(rows.filter("not common"))
     crowded = rows.filter("must <= 0").select("sig", "n", "root").distinct()
-    opened = by_count.union(_rarest(crowded, sets)).distinct()
+    # In its own group, what is not already one with the pivot is compared with all.
+    apart = members.filter("members > 1 and not (part <=> main)").select("sig", "n", "root")
+    opened = by_count.union(_rarest(crowded, sets)).union(apart).distinct()
     far = _open(stage(opened, "jaccard-opened"), members, sets, percent)
     final = components(close.union(far), "a", "b").withColumnRenamed("node", "sig")
     rooted = described.join(final, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
@@ -288,7 +295,7 @@ def _unpack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(percent: int):
-    """Links between the queries and the members of one part of a group: one for each query at most."""
+    """Links between the queries and the members of one part of a group: as many as tie together what all would."""
     def links(queries: pa.Table, members: pa.Table) -> pa.Table:
         out = []
         if queries.num_rows and members.num_rows:
@@ -296,14 +303,20 @@ def _compare(percent: int):
             own = [np.frombuffer(t, np.int64) for t in members.column("held").to_pylist()]
             sizes = np.array([len(t) for t in own])
             flat, first = np.concatenate(own), np.cumsum(sizes) - sizes
-            for a, packed in zip(queries.column("a").to_pylist(), queries.column("asked").to_pylist()):
+            tied = np.full(len(own), -1)
+            for k, (a, packed) in enumerate(zip(queries.column("a").to_pylist(), queries.column("asked").to_pylist())):
                 tokens = np.frombuffer(packed, np.int64)
                 at = np.searchsorted(tokens, flat)
                 at[at == len(tokens)] = 0
                 inter = np.add.reduceat((tokens[at] == flat).astype(np.int64), first)
                 hit = np.flatnonzero(100 * inter >= percent * (len(tokens) + sizes - inter))
                 if len(hit):
-                    out.append((a, names[hit[0]]))
+                    # One link to each member nobody is tied to yet, and to each set of tied members.
+                    fresh, old = hit[tied[hit] < 0], hit[tied[hit] >= 0]
+                    merged, at = np.unique(tied[old], return_index=True)
+                    out += [(a, names[j]) for j in [*fresh, *old[at]]]
+                    tied[np.isin(tied, merged) & (tied >= 0)] = k
+                    tied[fresh] = k
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
                          "b": pa.array([y for _, y in out], pa.int64())})
     return links

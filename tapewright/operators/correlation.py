@@ -1,65 +1,23 @@
-"""Pairwise return correlation.
-
-A self join would emit every pair of symbols for every bar. Here each task adds up its bars'
-cross products as matrices, so only one row per pair and task is shuffled.
-"""
+"""Pairwise return correlation."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SUMS = ["n", "sa", "sb", "saa", "sbb", "sab"]
-TILE = 512
-_SCHEMA = "symbol_a string, symbol_b string, " + ", ".join(f"{name} double" for name in SUMS)
-
-
-def _cross_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums over the bars where both symbols of a pair have a return; blocks of TILE symbols."""
-    for batch in batches:
-        if batch.empty:
-            continue
-        bars = np.repeat(np.arange(len(batch)), batch["symbols"].str.len().to_numpy(dtype=int))
-        names, columns = np.unique(np.concatenate(batch["symbols"].to_numpy()),
-                                   return_inverse=True)
-        returns = np.concatenate(batch["rets"].to_numpy()).astype(float)
-        for i in range(0, len(names), TILE):
-            for j in range(i, len(names), TILE):
-                sides = []
-                for start in (i, j):
-                    width = min(TILE, len(names) - start)
-                    inside = (columns >= start) & (columns < start + width)
-                    value, known = np.zeros((2, len(batch), width))
-                    value[bars[inside], columns[inside] - start] = returns[inside]
-                    known[bars[inside], columns[inside] - start] = 1.0
-                    sides.append((value, known))
-                (a, has_a), (b, has_b) = sides
-                sums = [has_a.T @ has_b, a.T @ has_b, has_a.T @ b, (a * a).T @ has_b,
-                        has_a.T @ (b * b), a.T @ b]
-                row, column = np.nonzero(sums[0] > 0)
-                ordered = row + i < column + j
-                row, column = row[ordered], column[ordered]
-                yield pd.DataFrame({"symbol_a": names[row + i], "symbol_b": names[column + j],
-                                    **{name: s[row, column] for name, s in zip(SUMS, sums)}})
-
 
 def pairwise(returns: DataFrame) -> DataFrame:
     """(symbol_a < symbol_b, bars, correlation) over the bars both have.
 
-    A bar gathers one return per symbol, never more.
+    An equi-join on the bar; Spark's correlation updates means and co-moments, so large levels
+    lose no digits, and pairs are summed up before they are shuffled. NULL where a side is
+    constant or fewer than two bars are shared.
     """
-    per_bar = (returns.filter(F.col("ret").isNotNull()).groupBy("bar_ms")
-               .agg(F.collect_list(F.struct("symbol", "ret")).alias("_rows"))
-               .select(F.col("_rows.symbol").alias("symbols"), F.col("_rows.ret").alias("rets")))
-    sums = (per_bar.mapInPandas(_cross_sums, _SCHEMA).groupBy("symbol_a", "symbol_b")
-            .agg(*[F.sum(name).alias(name) for name in SUMS]))
-    co = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
-    spread = ((F.col("saa") - F.col("sa") * F.col("sa") / F.col("n"))
-              * (F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")))
-    return sums.select("symbol_a", "symbol_b", F.col("n").cast("bigint").alias("bars"),
-                       F.when((F.col("n") >= 2) & (spread > 0), co / F.sqrt(spread))
-                       .alias("correlation"))
+    known = returns.filter(F.col("ret").isNotNull())
+    a = known.select("bar_ms", F.col("symbol").alias("symbol_a"), F.col("ret").alias("a"))
+    b = known.select("bar_ms", F.col("symbol").alias("symbol_b"), F.col("ret").alias("b"))
+    pairs = a.join(b, "bar_ms").filter("symbol_a < symbol_b").groupBy("symbol_a", "symbol_b").agg(
+        F.count("*").alias("bars"), F.corr("a", "b").alias("r"),
+        (F.least(F.max("a") - F.min("a"), F.max("b") - F.min("b")) > 0).alias("varied"))
+    return pairs.select("symbol_a", "symbol_b", "bars", F.when(
+        (F.col("bars") >= 2) & F.col("varied") & ~F.isnan("r"), F.col("r")).alias("correlation"))

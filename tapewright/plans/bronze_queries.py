@@ -47,8 +47,11 @@ def bronze_scan_count(spark, folder):
 
 
 @query("bronze_run_summary", over("ids", """
-SELECT 'success' AS status, 'bronze_events' AS table_name, count(*) AS record_count
-FROM ids WHERE reject_reason IS NULL"""))
+SELECT 'success' AS status, 'bronze_events' AS table_name,
+       count(DISTINCT symbol) FILTER (reject_reason IS NULL) AS symbols,
+       count(*) FILTER (reject_reason IS NULL) AS record_count,
+       count(*) FILTER (reject_reason IS NOT NULL) AS rejected_count
+FROM ids"""))
 def bronze_run_summary(spark, folder):
     return bronze.ingest(spark, log(spark, folder), fresh_path(spark, "bronze"), "bronze_events",
                          mode="insert")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright import feed_values as fv
@@ -53,6 +56,23 @@ def stream_bronze_ingest(spark, folder):
         "record_id", "symbol", "event_time", "date", "price", "quantity", "trade_id")
 
 
+@query("stream_ingest_places", over("ids", f"""
+SELECT CASE WHEN reject_reason IS NOT NULL THEN 'dead_letters'
+            WHEN stream_type IN {tuple(fv.EXPECTED_TYPES)} THEN stream_type
+            ELSE 'other' END AS place,
+       CASE WHEN any_value(reject_reason) IS NOT NULL THEN count(*)
+            ELSE count(DISTINCT (symbol, record_id)) END AS n
+FROM ids GROUP BY 1"""))
+def stream_ingest_places(spark, folder):
+    """Where every message of the feed ended."""
+    root = fresh_path(spark, "stream_places")
+    ingest.ingest(stream_messages(spark, folder), root, f"{root}/checkpoint")
+    places = [lake.read(spark, f"{root}/{place}").groupBy().count().select(
+        F.lit(place).alias("place"), F.col("count").alias("n"))
+        for place in (*fv.EXPECTED_TYPES, "other", "dead_letters") if lake.exists(spark, f"{root}/{place}")]
+    return functools.reduce(DataFrame.union, places)
+
+
 @query("stream_minute_counts", over("ids", f"""
 SELECT make_timestamp((received_time - received_time % 60000) * 1000) AS minute, stream_type,
        count(*) AS n

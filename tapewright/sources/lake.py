@@ -63,25 +63,32 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, batch_id: int = 0, k
     """Merge ``rows`` into the table at ``path``, one row per key.
 
     ``ordering`` decides between two versions of a key: by event time (late rows lose) or by
-    arrival. ``scope="key"`` also finds a stored version filed under the day before or after;
-    ``scope="partition"`` looks only at the same partition. Only partitions that change are
+    arrival. ``scope="key"`` also finds a stored version filed under any other day;
+    ``scope="partition"`` looks only at the same partition. An empty batch changes nothing. Only partitions that change are
     rewritten. The merge is staged as a table first: the input of an overwrite must not be the
     path it overwrites, and a lost executor then recomputes nothing. Repeating a call is harmless.
     """
     match = list(key) if scope == "key" else list(dict.fromkeys((*partition, *key)))
-    day, rest = partition[-1], list(partition[:-1])
+    day = partition[-1]
     stage = fresh_path(spark, "upsert")
     batch = rows.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
     latest_per_key(batch, match, ordering).write.parquet(f"{stage}/incoming")
     incoming = spark.read.parquet(f"{stage}/incoming")
+    if incoming.isEmpty():  # writes no folder without a schema, and changes nothing
+        drop(spark, stage)
+        return
     if not exists(spark, path):
         _write(incoming, path, "overwrite", partition)
         drop(spark, stage)
         return
 
-    spread = F.array(*[F.date_format(F.date_add(F.col(day).cast("date"), d), "yyyy-MM-dd")
-                       for d in (-1, 0, 1)]) if scope == "key" else F.array(day)
-    touched = incoming.select(*rest, F.explode(spread).alias(day)).distinct()
+    # Partitions that get rows, and those that hold an earlier version of a key on any day; for
+    # the latter only the key columns are read.
+    touched = incoming.select(*partition)
+    if scope == "key":
+        held = read(spark, path).select(*dict.fromkeys((*partition, *key)))
+        touched = touched.union(held.join(incoming.select(*match), match, "left_semi").select(*partition))
+    touched = touched.distinct()
     first, last = touched.agg(F.min(day), F.max(day)).first()
     stored = (read(spark, path).filter(F.col(day).between(first, last))
               .join(touched, list(partition), "left_semi"))

@@ -18,6 +18,8 @@ def bronze_writer(spark: SparkSession, root: str,
                   kinds: tuple[str, ...] = fv.EXPECTED_TYPES) -> Callable[[DataFrame, int], None]:
     """A batch handler: parse once, upsert each event type, set rejected messages aside.
 
+    Accepted messages of any other type go to ``other``, so every message has one place.
+
     The parsed batch is staged as a table because several writes read it.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -26,6 +28,9 @@ def bronze_writer(spark: SparkSession, root: str,
         parsed = spark.read.parquet(stage)
         for kind in kinds:
             lake.upsert(spark, envelope.typed_rows(parsed, kind), f"{root}/{kind}", batch_id)
+        other = envelope.accepted(parsed).filter(
+            ~F.coalesce(F.col("event_kind").isin(*kinds), F.lit(False))).select(*envelope.HEADER)
+        lake.upsert(spark, other, f"{root}/other", batch_id)
         replace_batch(envelope.dead_letters(parsed), f"{root}/dead_letters", batch_id)
         lake.drop(spark, stage)
     return write

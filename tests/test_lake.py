@@ -81,3 +81,23 @@ def test_topic_scan_reads_one_folder(spark):
     scan = message_log.bounded_scan(spark, "crypto_raw_a_trade", path=path)
     assert [r.key.decode() for r in scan.collect()] == ["A"]
     assert "PartitionFilters: [isnotnull(topic" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_first_batch_and_a_key_that_moves_ten_days(spark):
+    path = fresh_path(spark, "t")
+    lake.upsert(spark, rows(spark, ("A", "1", 5, 1)).limit(0), path, 0)
+    lake.upsert(spark, rows(spark, ("A", "1", 5, 1), ("A", "2", 6, 1)), path, 1)
+    lake.upsert(spark, rows(spark, ("A", "1", 10 * DAY, 2)), path, 2)
+    assert content(spark, path) == [("A", "1970-01-01", "2", 6, 1), ("A", "1970-01-11", "1", 10 * DAY, 2)]
+
+
+def test_every_log_row_is_stored_or_set_aside(spark):
+    log = spark.createDataFrame(
+        [('{"record_id":"1","symbol":"A","event_time":5}',), ('{"symbol":"A"}',), ("broken",)],
+        "value string").withColumn("timestamp", F.lit(0).cast("timestamp"))
+    path = fresh_path(spark, "bronze")
+    summary = bronze.ingest(spark, log, path, "t", mode="insert").first()
+    assert (summary.record_count, summary.rejected_count) == (1, 2)
+    dead = spark.read.parquet(f"{path}_dead_letters")
+    assert {(r.raw_text, r.reject_reason) for r in dead.collect()} == {
+        ('{"symbol":"A"}', "no_record_id"), ("broken", "no_record_id")}

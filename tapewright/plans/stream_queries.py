@@ -58,7 +58,7 @@ def stream_bronze_ingest(spark, folder):
 
 @query("stream_ingest_places", over("ids", f"""
 SELECT CASE WHEN reject_reason IS NOT NULL THEN 'dead_letters'
-            WHEN stream_type IN {tuple(fv.EXPECTED_TYPES)} THEN stream_type
+            WHEN event_kind IN {tuple(fv.EXPECTED_TYPES)} THEN event_kind
             ELSE 'other' END AS place,
        CASE WHEN any_value(reject_reason) IS NOT NULL THEN count(*)
             ELSE count(DISTINCT (symbol, record_id)) END AS n

@@ -52,30 +52,39 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def scores(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
     """Adds ``trust`` and ``distrust`` to seeds (host, good, bad): shares of trusted and blocked pages.
 
-    Trust follows links, distrust goes against them, both with restarts at their seeds. Hosts
-    that only links name take part with no seed. Each round is one pass over the edges.
+    Trust follows links, distrust goes against them, both with restarts at their seeds. What has no
+    link to leave by stays at its host, so a host without links keeps its seed, however many links
+    others have. Hosts that only links name take part with no seed. Each round is one pass over the
+    edges.
     """
     edges = stage(edges, "host-edges")
-    ends = edges.select(F.col("src").alias("host")).union(edges.select("dst")).distinct()
-    hosts = stage(ends.join(seeds, "host", "full").select(
-        "host", F.coalesce("good", F.lit(0.0)).alias("good"), F.coalesce("bad", F.lit(0.0)).alias("bad")), "hosts")
-    state = hosts.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
-    if edges.isEmpty():  # every round gives the seeds again, scaled
-        return hosts.join(state, "host")
     out_sum = edges.groupBy("src").agg(F.sum("w").alias("out"))
     in_sum = edges.groupBy("dst").agg(F.sum("w").alias("into"))
+    ends = (out_sum.withColumnRenamed("src", "host").join(in_sum.withColumnRenamed("dst", "host"), "host", "full")
+            .join(seeds, "host", "full"))
+    state = stage(ends.select(
+        "host", F.coalesce("good", F.lit(0.0)).alias("good"), F.coalesce("bad", F.lit(0.0)).alias("bad"),
+        F.col("out").isNull().alias("no_out"), F.col("into").isNull().alias("no_in"))
+        .withColumns({"trust": F.col("good"), "distrust": F.col("bad")}), "hosts")
+    if edges.isEmpty():  # every round gives the seeds again
+        return state
     shares = stage(edges.join(out_sum, "src").join(in_sum, "dst").select(
         "src", "dst", (F.col("w") / F.col("out")).alias("ahead"), (F.col("w") / F.col("into")).alias("back")), "host-shares")
+
+    def stays(end: str, score: str) -> Column:
+        return F.when(F.col(end), F.col(score)).otherwise(0.0)
     for _ in range(rounds):
         ahead = shares.join(state, shares["src"] == state["host"]).select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("ahead")).alias("t"), F.lit(0.0).alias("d"))
         back = shares.join(state, shares["dst"] == state["host"]).select(
             F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("back")).alias("d"))
         moved = ahead.union(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        state = stage(hosts.join(moved, "host", "left").select(
-            "host", ((1 - damping) * F.col("good") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
-            ((1 - damping) * F.col("bad") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust")), "host-scores")
-    return hosts.join(state, "host")
+        state = stage(state.join(moved, "host", "left").select(
+            "host", "good", "bad", "no_out", "no_in",
+            ((1 - damping) * F.col("good") + damping * (F.coalesce("t", F.lit(0.0)) + stays("no_out", "trust"))).alias("trust"),
+            ((1 - damping) * F.col("bad") + damping * (F.coalesce("d", F.lit(0.0)) + stays("no_in", "distrust"))).alias("distrust")),
+            "host-scores")
+    return state
 
 
 def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS, lift: float = BLOCK_LIFT) -> DataFrame:
@@ -104,4 +113,5 @@ def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS, lift: float = BLO
         .otherwise("allow").alias("by_host"))
     return ruled.join(judged, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "by_host", F.lit("allow")).alias("verdict"),
-        F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+        F.coalesce(F.round("trust", 9), F.lit(0.0)).alias("trust"),
+        F.coalesce(F.round("distrust", 9), F.lit(0.0)).alias("distrust"))

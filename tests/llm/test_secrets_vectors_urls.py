@@ -127,6 +127,18 @@ def test_trust_and_distrust_follow_links(spark):
     good, bad = np.array([h == "good.com" for h in hosts], float), np.array([h == "bad.net" for h in hosts], float)
     t, d = good, bad
     for _ in range(url_trust.ROUNDS):
-        t, d = 0.15 * good + 0.85 * ahead.T @ t, 0.15 * bad + 0.85 * back @ d
+        t, d = (0.15 * good + 0.85 * (ahead.T @ t + t * (w.sum(1) == 0)),
+                0.15 * bad + 0.85 * (back @ d + d * (w.sum(0) == 0)))
     for h, x, y in zip(hosts, t, d):
-        assert abs(rows[h]["trust"] - x) < 1e-9 and abs(rows[h]["distrust"] - y) < 1e-9
+        assert abs(rows[h]["trust"] - x) < 1e-8 and abs(rows[h]["distrust"] - y) < 1e-8
+
+
+def test_links_elsewhere_change_no_verdict(spark):
+    pages = [(i, f"http://host{i % 4}.net/{'es' if i % 4 == 0 or i == 5 else 'de'}/{i}", "") for i in range(60)]
+    more = [(60, "http://a.org/", '<a href="http://b.org/">')]
+
+    def verdicts(rows):
+        return {r["page_id"]: r["verdict"] for r in url_trust.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    alone = verdicts(pages)
+    assert set(alone.values()) == {"allow", "block"}
+    assert verdicts(pages + more) == {**alone, 60: "allow"}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewright.llm import (
-    byte_bpe, jaccard, line_dedup, mixing, near_vectors, quality, secret_scan, sharding, surrogates, url_trust,
+    byte_bpe, check_sql, jaccard, line_dedup, mixing, near_vectors, quality, secret_scan, sharding, surrogates, url_trust,
 )
 from tapewright.session import prepare
 
@@ -106,4 +106,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def checks() -> dict[str, str]:
-    return {}
+    return {"op1_mix_sources": check_sql.mix(), "op4_quality_rules": check_sql.quality_rules(),
+            "op5_url_filter": check_sql.url_filter()}

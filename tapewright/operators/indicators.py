@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.operators.bars import WIDTHS_MS, fill_gaps
-from tapewright.operators.series import Chunks, ema_decay, memory, run_length, with_position
+from tapewright.operators.series import Chunks, ema_decay, run_length, with_position
 
 PLAIN_RUN = 4096
 
@@ -52,39 +52,34 @@ def _ema_input(column: str, decay: float) -> Column:
     return F.when(F.col("pos") == 0, F.col(column)).otherwise(F.lit(1.0 - decay) * F.col(column))
 
 
-def ema(bars: DataFrame, width: str, span: int = 12, fill: bool = False) -> DataFrame:
+def _smoothed(rows: DataFrame, column: str, span: int, name: str) -> DataFrame:
+    """Exponential average of ``column`` over all earlier positions, in runs of its own decay."""
     decay = ema_decay(span)
-    halo = memory(decay)
-    chunks = Chunks(_positioned(bars, width, fill), halo, run_length(decay, halo))
-    return chunks.finish(chunks.rows.withColumn(
-        "ema", chunks.decayed_sum(_ema_input("close", decay), decay)))
+    chunks = Chunks(rows, 0, run_length(decay))
+    taken = chunks.rows.withColumn("_in", _ema_input(column, decay))
+    return chunks.finish(chunks.recurrence(taken, decay, {name: "_in"})).drop("_in")
+
+
+def ema(bars: DataFrame, width: str, span: int = 12, fill: bool = False) -> DataFrame:
+    return _smoothed(_positioned(bars, width, fill), "close", span, "ema")
 
 
 def macd(bars: DataFrame, width: str, fast: int = 12, slow: int = 26, signal: int = 9,
          fill: bool = False) -> DataFrame:
-    """The lead covers the slow average and then the signal's own memory."""
-    decays = {name: ema_decay(span)
-              for name, span in (("_fast", fast), ("_slow", slow), ("signal", signal))}
-    halo = memory(max(decays["_fast"], decays["_slow"])) + memory(decays["signal"])
-    chunks = Chunks(_positioned(bars, width, fill), halo, run_length(min(decays.values()), halo))
-    rows = chunks.rows.withColumns({
-        name: chunks.decayed_sum(_ema_input("close", decays[name]), decays[name])
-        for name in ("_fast", "_slow")})
-    rows = rows.withColumn("macd", F.col("_fast") - F.col("_slow"))
-    rows = rows.withColumn("signal", chunks.decayed_sum(
-        _ema_input("macd", decays["signal"]), decays["signal"]))
-    rows = rows.withColumn("histogram", F.col("macd") - F.col("signal"))
-    return chunks.finish(rows).drop("_fast", "_slow")
+    """Each of the three averages carries its state from run to run, so any spans go together."""
+    rows = _smoothed(_positioned(bars, width, fill), "close", fast, "_fast")
+    rows = _smoothed(rows, "close", slow, "_slow").withColumn("macd", F.col("_fast") - F.col("_slow"))
+    rows = _smoothed(rows, "macd", signal, "signal")
+    return rows.withColumn("histogram", F.col("macd") - F.col("signal")).drop("_fast", "_slow")
 
 
 def rsi(bars: DataFrame, width: str, n: int = 14, fill: bool = False) -> DataFrame:
     """Wilder: the mean of the first n moves seeds both averages, later moves weigh 1/n.
 
-    Both averages zero gives 50, only losses zero gives 100.
+    Both averages zero gives 50, only losses zero gives 100. A flat stretch keeps the value before it.
     """
     decay = 1.0 - 1.0 / n
-    halo = memory(decay) + n
-    chunks = Chunks(_positioned(bars, width, fill), halo, run_length(decay, halo))
+    chunks = Chunks(_positioned(bars, width, fill), n, run_length(decay))
     move = F.col("close") - F.lag("close").over(chunks.ordered)
     rows = (chunks.rows.withColumn("_move", move)
             .withColumns({"_gain": F.greatest(F.col("_move"), F.lit(0.0)),
@@ -96,8 +91,7 @@ def rsi(bars: DataFrame, width: str, n: int = 14, fill: bool = False) -> DataFra
                 .otherwise(F.coalesce(F.col(column), F.lit(0.0)) / n))
 
     rows = rows.withColumns({"_up_in": seeded("_gain"), "_down_in": seeded("_loss")})
-    rows = rows.withColumns({"_up": chunks.decayed_sum(F.col("_up_in"), decay),
-                             "_down": chunks.decayed_sum(F.col("_down_in"), decay)})
+    rows = chunks.recurrence(rows, decay, {"_up": "_up_in", "_down": "_down_in"}, ratio=True)
     value = (F.when((F.col("_up") == 0) & (F.col("_down") == 0), 50.0)
              .when(F.col("_down") == 0, 100.0)
              .otherwise(100.0 - 100.0 / (1.0 + F.col("_up") / F.col("_down"))))

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 # Bars of one bucket: at most this many, since a slot holds one bar.
 BUCKET_BARS = 1440
-# Decay beyond e**-45 (3e-20) is below the resolution of a double next to 1.
-NEGLIGIBLE = 45.0
-# Largest exponent span of the scaled running sums; e**600 is far from overflow.
+# Exponent span of one run's scaled sums: e**600 is far from overflow, and a run's own last values
+# outweigh what came two runs earlier by more than a double resolves.
 SPAN = 600.0
 
 
@@ -48,6 +47,7 @@ class Chunks:
     """Rows of ``positioned`` in runs of ``size`` per key, each led by ``halo`` earlier rows."""
 
     def __init__(self, positioned: DataFrame, halo: int, size: int, key: str = "symbol"):
+        self.halo, self.size, self.key = halo, size, key
         own = F.floor(F.col("pos") / F.lit(size))
         reach = F.floor((F.col("pos") + F.lit(halo)) / F.lit(size))
         self.rows = (positioned
@@ -67,15 +67,46 @@ class Chunks:
     def ordered(self):
         return self._by
 
-    def decayed_sum(self, value: Column, decay: float) -> Column:
-        """Sum of decay**age * value over this and all earlier rows.
+    def recurrence(self, rows: DataFrame, decay: float, inputs: dict[str, str], ratio: bool = False) -> DataFrame:
+        """Add, per name, the sum of decay**age * input over this and all earlier rows; lead rows go.
 
-        One running sum of values scaled up by decay**-k; later terms dominate it, so nothing
-        cancels. Rows before the run's lead weigh less than rounding.
+        A run adds up its own values, scaled by decay**-k, and receives what its predecessors left:
+        one row a run, read in order. That is the sum of the last run with a value other than 0 and
+        of the run before it; all older ones are below its resolution, since runs are as long as
+        SPAN allows. Flat stretches of any length therefore change nothing. With ``ratio`` the sums
+        of a row may share a positive factor, so that their ratio outlives sums that become 0.
         """
-        grow = F.pow(F.lit(1.0 / decay), F.col("_k"))
-        running = self._by.rowsBetween(W.unboundedPreceding, 0)
-        return F.sum(value * grow).over(running) / grow
+        own = rows.filter(~F.col("_lead"))
+        if decay <= 0.0:
+            return own.withColumns({name: F.col(value) for name, value in inputs.items()})
+        place = F.col("_k") - F.lit(self.halo)
+        to_end = F.pow(F.lit(decay), F.lit(self.size - 1) - place)
+        ends = own.groupBy(self.key, "_chunk").agg(*[
+            F.coalesce(F.sum(F.col(value) * to_end), F.lit(0.0)).alias(name) for name, value in inputs.items()])
+        in_order = W.partitionBy(self.key).orderBy("_chunk")
+        lives = F.lit(False)
+        for name in inputs:
+            lives = lives | (F.col(name) != 0)
+        totals = [(F.col(name) + F.lit(decay ** self.size) * F.coalesce(F.lag(name).over(in_order), F.lit(0.0)))
+                  .alias(name) for name in inputs]
+        left = F.when(lives, F.struct(F.col("_chunk").alias("run"), *totals))
+        carry = (ends.select(self.key, "_chunk", left.alias("_left"))
+                 .select(self.key, "_chunk", F.last("_left", ignorenulls=True).over(
+                     in_order.rowsBetween(W.unboundedPreceding, -1)).alias("_left")))
+        grow = F.pow(F.lit(1.0 / decay), place)
+        so_far = self._by.rowsBetween(W.unboundedPreceding, 0)
+        local = {f"_own_{name}": F.coalesce(F.sum(F.col(value) * grow).over(so_far) / grow, F.lit(0.0))
+                 for name, value in inputs.items()}
+        age = (F.col("_chunk") - F.col("_left.run") - 1) * F.lit(self.size) + place + 1
+        faded = F.when(F.col("_left").isNotNull(), F.pow(F.lit(decay), age)).otherwise(0.0)
+        silent = F.lit(ratio)
+        for name in local:
+            silent = silent & (F.col(name) == 0)
+        return (own.withColumns(local).join(carry, [self.key, "_chunk"]).withColumn("_faded", faded)
+                .withColumns({name: F.coalesce(F.when(silent, F.col(f"_left.{name}")).otherwise(
+                    F.col(f"_own_{name}") + F.coalesce(F.col(f"_left.{name}"), F.lit(0.0)) * F.col("_faded")), F.lit(0.0))
+                    for name in inputs})
+                .drop("_left", "_faded", *local))
 
     def finish(self, rows: DataFrame) -> DataFrame:
         return rows.filter(~F.col("_lead")).drop("_lead", "_chunk", "_k")
@@ -85,11 +116,6 @@ def ema_decay(span: int) -> float:
     return 1.0 - 2.0 / (span + 1)
 
 
-def memory(decay: float) -> int:
-    """Rows after which a recurrence has forgotten its start."""
-    return math.ceil(NEGLIGIBLE / -math.log(decay))
-
-
-def run_length(decay: float, halo: int) -> int:
-    """Longest run whose scaled sums stay finite with this halo."""
-    return max(64, math.floor(SPAN / -math.log(decay)) - halo)
+def run_length(decay: float) -> int:
+    """Rows of a run whose scaled sums stay finite."""
+    return max(1, math.floor(SPAN / -math.log(decay))) if decay > 0.0 else 4096

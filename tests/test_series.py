@@ -98,6 +98,39 @@ def test_flat_series_has_neutral_strength(spark):
     assert set(column(indicators.rsi(flat, WIDTH), "rsi", "A")[14:]) == {50.0}
 
 
+def test_recurrences_outlive_flat_stretches_of_several_runs(spark):
+    """RSI keeps its value over any flat stretch, as exact arithmetic would, and moves on after it."""
+    from fractions import Fraction
+    moving = [v for _, v in closes(40, 4)]
+    values = moving + [moving[-1]] * 26_000 + [moving[-1] + v for v in (1.0, -0.25, 2.0)] + [moving[-1] + 2.0] * 9_000
+    rows = spark.createDataFrame([("A", i * 60_000, v) for i, v in enumerate(values)],
+                                 "symbol string, bar_ms bigint, close double").repartition(4)
+    found = column(indicators.rsi(rows, WIDTH), "rsi", "A")
+    before = plain_rsi(moving)[-1]
+    assert all(v == pytest.approx(before, rel=1e-9) for v in found[40:26_040])
+    moves = [Fraction(b) - Fraction(a) for a, b in zip(values[26_038:26_043], values[26_039:26_043])]
+    # The old averages have faded to e**-1900 of the new moves.
+    late = [(Fraction(13, 14) ** (len(moves) - 1 - i), m) for i, m in enumerate(moves)]
+    up, down = (sum(w * max(sign * m, 0) for w, m in late) for sign in (1, -1))
+    expected = float(100 - 100 / (1 + up / down))
+    assert all(v == pytest.approx(expected, rel=1e-9) for v in found[26_042:])
+
+
+@pytest.mark.parametrize("spans", [(50, 200, 9), (1, 3, 2), (2, 1000, 5)])
+def test_macd_with_any_spans(frame, series, spans):
+    fast, slow, signal = spans
+    values = [c for _, c in series["HOT"]]
+    line = [a - b for a, b in zip(plain_ema(values, fast), plain_ema(values, slow))]
+    found = indicators.macd(frame, WIDTH, fast, slow, signal)
+    same(column(found, "macd", "HOT"), line)
+    same(column(found, "signal", "HOT"), plain_ema(line, signal))
+
+
+def test_strength_of_one_move(frame, series):
+    values = [c for _, c in series["COLD"]]
+    same(column(indicators.rsi(frame, WIDTH, n=1), "rsi", "COLD"), plain_rsi(values, 1))
+
+
 def test_filled_series_is_gapless(frame, series):
     filled = bars.fill_gaps(frame, WIDTH)
     times = column(filled, "bar_ms", "COLD")

@@ -66,17 +66,19 @@ def closed_only(klines: DataFrame) -> DataFrame:
 
 
 def latest_per_bar(klines: DataFrame) -> DataFrame:
-    """The feed repeats a bar until it closes; keep its last version.
+    """The feed repeats a bar until it closes; keep its last version, a closed one before any open one.
 
-    A rank filter, so Spark drops superseded versions before the shuffle.
+    Bars of different ``interval`` are different bars, also where they open together; a missing
+    interval is one of its own. A rank filter, so Spark drops superseded versions before the shuffle.
     """
-    newest = W.partitionBy("symbol", "bar_open_time").orderBy(F.desc("event_time"),
-                                                              F.desc("record_id"))
+    newest = W.partitionBy("symbol", "interval", "bar_open_time").orderBy(
+        F.desc_nulls_last("is_closed"), F.desc("event_time"), F.desc("record_id"))
     return (klines.filter(F.col("bar_open_time").isNotNull())
             .withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank"))
 
 
 def bars_from_klines(klines: DataFrame) -> DataFrame:
+    """Closed, valid bars, one per symbol, ``interval`` and ``bar_ms``."""
     return (closed_only(latest_per_bar(klines)).filter(is_valid())
             .withColumn("bar_ms", F.col("bar_open_time")))
 

@@ -189,15 +189,15 @@ def quality_filter(spark, folder):
 
 
 @query("ohlcv_from_klines", over("ids", """
-SELECT symbol, make_timestamp(bar_open_time * 1000) AS bar_start, open, high, low, close, volume
-FROM (SELECT *, row_number() OVER (PARTITION BY symbol, bar_open_time
-                                   ORDER BY event_time DESC, record_id DESC) AS rn
+SELECT symbol, "interval", make_timestamp(bar_open_time * 1000) AS bar_start, open, high, low, close, volume
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, "interval", bar_open_time
+                                   ORDER BY is_closed DESC NULLS LAST, event_time DESC, record_id DESC) AS rn
       FROM klines WHERE bar_open_time IS NOT NULL)
 WHERE rn = 1 AND is_closed AND low <= least(open, close) AND high >= greatest(open, close)
   AND volume >= 0""", KLINES))
 def ohlcv_from_klines(spark, folder):
     return bars.bars_from_klines(klines(spark, folder)).select(
-        "symbol", timestamp_of(F.col("bar_ms")).alias("bar_start"), "open", "high", "low", "close",
+        "symbol", "interval", timestamp_of(F.col("bar_ms")).alias("bar_start"), "open", "high", "low", "close",
         "volume")
 
 

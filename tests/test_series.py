@@ -155,6 +155,16 @@ def test_bars_aggregate_by_hash_and_roll_up_equals_direct(spark):
     assert rolled == direct and len(rolled) == 4
 
 
+def test_klines_of_two_intervals_and_a_late_open_version(spark):
+    rows = [("A", "1m", 0, 10, "r1", True, 1.0), ("A", "1h", 0, 20, "r2", True, 2.0), ("A", "1m", 0, 30, "r3", False, 3.0),
+            ("A", None, 0, 10, "r4", True, 4.0), ("A", "1m", 60_000, 70, "r5", False, 5.0), ("A", "1m", None, 9, "r6", True, 6.0)]
+    klines = spark.createDataFrame(rows, "symbol string, interval string, bar_open_time bigint, event_time bigint, "
+                                         "record_id string, is_closed boolean, close double").selectExpr(
+        "*", "close AS open", "close AS high", "close AS low", "1.0D AS volume")
+    found = sorted((r["interval"] or "", r.bar_ms, r.close) for r in bars.bars_from_klines(klines).collect())
+    assert found == [("", 0, 4.0), ("1h", 0, 2.0), ("1m", 0, 1.0)]
+
+
 def test_gaps_and_asof_against_brute_force(spark):
     rng = random.Random(5)
     ticks = [("H" if i % 3 else "C", rng.randrange(10_000_000), i, float(i)) for i in range(800)]

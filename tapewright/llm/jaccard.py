@@ -196,13 +196,15 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
-    """doc_id, text_key (hash of the text), n_shingles and component_id of every document.
+    """doc_id, text_key (hash of the text), n_shingles, component_id and root of every document.
 
     Words are lower-cased in A-Z; a text with fewer than ``size`` words is one shingle. Texts
     without words and null texts have no shingle and are linked with nothing: their component is
     their own id. Repeated rows are copies like any other. The component is the least id in it,
-    null ids left aside. An empty table gives none. Extra columns are not read. ``percent`` must
-    be 80 or more, the similarity the postings are long enough for.
+    null ids left aside: null where all are, and not unique where unlike documents share an id. The
+    root (signature of a set) tells components apart whatever the ids are; texts without shingle
+    have one root and are no component. An empty table gives none. Extra columns are not read.
+    ``percent`` must be 80 or more, the similarity the postings are long enough for.
     """
     if percent < 80:
         raise ValueError("postings cover similarities of 80 percent and more")
@@ -267,7 +269,7 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     least = rooted.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     return rooted.join(least, "root", "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "root")
 
 
 def _bounded(rows: DataFrame) -> DataFrame:
@@ -368,16 +370,16 @@ def _rarest(crowded: DataFrame, sets: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, the one of least id (least text hash among equal ids).
 
-    Rows equal in id and text are one document; any one of them stays.
+    Null ids come last. Components are told apart by their root, so documents that share an id, or
+    have none, stay unless they are near copies. Rows equal in id and text are one document; any
+    one of them stays.
     """
-    linked = link(docs, size, percent)
-    first = linked.filter("n_shingles > 0").groupBy("component_id").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("first"))
-    stay = (linked.groupBy("doc_id", "text_key").agg(
-        F.count("*").alias("__rows"), F.max("n_shingles").alias("n"), F.max("component_id").alias("component_id"))
-        .join(first, "component_id", "left")
-        .filter((F.col("n") == 0) | (F.struct("doc_id", "text_key") == F.col("first")))
-        .select("doc_id", "text_key", "__rows"))
+    rows = link(docs, size, percent).groupBy("root", "doc_id", "text_key").agg(
+        F.count("*").alias("__rows"), F.max("n_shingles").alias("n"))
+    first = rows.filter("n > 0").groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "__rows")).alias("first"))
+    stay = first.select("first.doc_id", "first.text_key", "first.__rows").union(
+        rows.filter("n = 0").select("doc_id", "text_key", "__rows"))
     keyed = docs.withColumn("__jaccard_key", F.coalesce(F.xxhash64(docs["text"]), F.lit(0)))
     joined = keyed.alias("l").join(
         stay.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))

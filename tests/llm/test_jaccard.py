@@ -51,3 +51,15 @@ def test_keep_one(spark, frame, corpus):
     assert {r["n"] for r in jaccard.keep_one(docs).collect()} & {4, 5} == {4, 5}
     assert jaccard.keep_one(docs).count() == 3
     assert jaccard.link(docs.filter("n > 9")).count() == 0
+
+
+def test_keep_one_tells_components_apart_by_more_than_ids(spark):
+    def text(seed):
+        return " ".join(f"{seed}{i}" for i in range(60))
+    rows = [(None, text("a"), 1), (None, text("b"), 2), (5, text("c"), 3), (5, text("d"), 4),
+            (None, text("e") + " x", 5), (9, text("e"), 6), (8, text("e") + " y", 7), (5, text("c") + " z", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = {r["n"] for r in jaccard.keep_one(docs).collect()}
+    assert kept - {3, 8} == {1, 2, 4, 7} and len(kept & {3, 8}) == 1
+    linked = jaccard.link(docs).collect()
+    assert len({r["root"] for r in linked}) == 5 and {r["component_id"] for r in linked} == {None, 5, 8}

@@ -78,20 +78,37 @@ def _luhn(body: Column) -> Column:
     return F.concat(head, F.pmod(-total, F.lit(10)).cast("string"))
 
 
-def _person(name: Column, gender: str, digest: Column, attempt: Column) -> Column:
-    def pick(values, at):
-        return F.element_at(F.array(*map(F.lit, values)), F.pmod(_nibble(digest, F.lit(at)), F.lit(len(values))) + 1)
-
-    def made(script):
-        parts = F.transform(F.sequence(F.lit(1), F.lit(3) + attempt), lambda i: F.element_at(
-            F.array(*map(F.lit, SYLLABLES[script])), F.pmod(_nibble(digest, i), F.lit(len(SYLLABLES[script]))) + 1))
-        return F.concat(pick(GIVEN[gender][script], 20), F.lit(" "), F.initcap(F.array_join(parts, "")))
+def _by_script(name: Column, made) -> Column:
     return (F.when(name.rlike("\\p{IsCyrillic}"), made("cyrillic")).when(name.rlike("\\p{IsGreek}"), made("greek"))
             .otherwise(made("latin")))
 
 
+def _pick(values: list[str], digest: Column, at) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), F.pmod(_nibble(digest, at), F.lit(len(values))) + 1)
+
+
+def _syllables(script: str, digest: Column, count: Column) -> Column:
+    return F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: _pick(SYLLABLES[script], digest, i)), "")
+
+
+def _family(surname: Column, digest: Column, attempt: Column) -> Column:
+    return _by_script(surname, lambda script: F.initcap(_syllables(script, digest, F.lit(3) + attempt)))
+
+
+def _given(name: Column, kind: Column, digest: Column, attempt: Column) -> Column:
+    """A given name of the list; drawn again, with more syllables behind it each time."""
+    def of(gender):
+        return _by_script(name, lambda script: F.concat(
+            _pick(GIVEN[gender][script], digest, F.lit(20)),
+            F.when(attempt > 0, _syllables(script, digest, 2 * attempt)).otherwise("")))
+    return F.when(kind == "person_m", of("m")).otherwise(of("f"))
+
+
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """The replacement of an entity: keyed, of its kind, as long as it where that is a format."""
+    """The replacement of an entity: keyed, of its kind, as long as it where that is a format.
+
+    Of a person's norm with a space it is the given name, of a surname (kinds family_m, family_f) the family name.
+    """
     digest = F.sha2(F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string")), 256)
     user = F.substring_index(norm, "@", 1)
     top = F.concat(F.lit("."), F.substring_index(norm, ".", -1))
@@ -101,8 +118,9 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         F.pmod(_nibble(digest, i), F.lit(254)) + 1).cast("string")), ".")
     return (F.when(kind == "email", F.concat(_spelled(user, digest), F.lit("@"), _spelled(domain, second), top))
             .when(kind == "address", octets).when(kind == "card", _luhn(_spelled(norm, digest)))
-            .when(kind == "person_m", _person(norm, "m", digest, attempt))
-            .when(kind == "person_f", _person(norm, "f", digest, attempt)).otherwise(_spelled(norm, digest)))
+            .when(kind.startswith("family"), _family(norm, digest, attempt))
+            .when(kind.startswith("person"), _given(F.substring_index(norm, " ", 1), kind, digest, attempt))
+            .otherwise(_spelled(norm, digest)))
 
 
 def _rendered(mention: Column, kind: Column, new: Column) -> Column:
@@ -110,37 +128,61 @@ def _rendered(mention: Column, kind: Column, new: Column) -> Column:
     filled = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
         c.rlike("[0-9]"), F.substring(new, F.length(_digits(F.substring(mention, F.lit(1), i + 1))), F.lit(1)))
         .otherwise(c)), "")
-    title = F.concat(F.regexp_extract(mention, "^\\S+ ", 0))
-    short = F.when(F.instr(_name(mention), " ") > 0, new).otherwise(F.substring_index(new, " ", -1))
+    title = F.regexp_extract(mention, "^\\S+ ", 0)
     return (F.when(kind == "email", F.when(mention == F.upper(mention), F.upper(new)).otherwise(new))
-            .when(kind == "address", new).when(kind.startswith("person"), F.concat(title, short)).otherwise(filled))
+            .when(kind == "address", new).when(kind.startswith("person"), F.concat(title, new)).otherwise(filled))
 
 
-def mapping(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, new) of distinct entities (kind, norm); no two share a surrogate and none is a real entity.
+def _distinct(entities: DataFrame, within: list[str], key: str) -> DataFrame:
+    """``entities`` with ``new``, which no two of one ``within`` share and which is no norm of the same family of kinds.
 
     Entities whose surrogate collides draw again, all but the first of a collision, until none does.
     """
-    known = stage(entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0)), "entities")
-    real = known.select(F.col("kind").alias("real_kind"), F.col("norm").alias("real"))
-    family = F.regexp_replace("kind", "_.$", "")
+    columns = [*dict.fromkeys(["kind", "norm", "family", *within])]
+    known = stage(entities.select(*columns).withColumn("attempt", F.lit(0)), "entities")
+    real = known.select(F.col("family").alias("real_family"), F.col("norm").alias("real")).distinct()
     while True:
         drawn = known.withColumn("new", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key))
-        same = Window.partitionBy("family", F.lower("new")).orderBy("kind", "norm")
-        checked = (drawn.withColumn("family", family).withColumn("n", F.row_number().over(same))
-                   .join(real, (F.lower("new") == F.col("real")) & (F.col("kind") == F.col("real_kind")), "left"))
+        same = Window.partitionBy(*within, F.lower("new")).orderBy("kind", "norm")
+        checked = (drawn.withColumn("n", F.row_number().over(same))
+                   .join(real, (F.lower("new") == F.col("real")) & (F.col("family") == F.col("real_family")), "left"))
         checked = stage(checked.withColumn("again", (F.col("n") > 1) | F.col("real").isNotNull())
-                        .select("kind", "norm", "attempt", "new", "again"), "entity-draws")
+                        .select(*columns, "attempt", "new", "again"), "entity-draws")
         if checked.filter("again").isEmpty():
-            return checked.select("kind", "norm", "new")
-        known = checked.select("kind", "norm", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+            return checked.select(*columns, "new")
+        known = checked.select(*columns, (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+
+
+def mapping(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, norm, new) of distinct entities (kind, norm); no two share a surrogate and none is a real entity.
+
+    ``new`` is what is written. The family name of a person is drawn from kind and surname, so full
+    and short mentions agree; it is no other surname's, of either gender, and no real surname. The
+    given name tells those of one surname apart. So a one-word name is its family name alone, and
+    no full name is a real one.
+    """
+    known = stage(entities.select("kind", "norm").distinct(), "entities")
+    person = F.col("kind").startswith("person")
+    persons = known.filter(person).withColumn("surname", F.substring_index("norm", " ", -1))
+    surnames = persons.select(F.regexp_replace("kind", "^person", "family").alias("kind"),
+                              F.col("surname").alias("norm")).distinct()
+    single = known.filter(~person).union(surnames).withColumn("family", F.regexp_replace("kind", "^(family|person)_.$", "$1"))
+    single = _distinct(single, ["family"], key)
+    families = single.filter("family = 'family'").select(
+        F.regexp_replace("kind", "^family", "person").alias("kind"), F.col("norm").alias("surname"), F.col("new").alias("last"))
+    given = _distinct(persons.filter("norm <> surname").withColumn("family", F.lit("person")), ["kind", "surname"], key)
+    named = (persons.join(families, ["kind", "surname"])
+             .join(given.select("kind", "norm", F.col("new").alias("first")), ["kind", "norm"], "left")
+             .select("kind", "norm", F.concat_ws(" ", "first", "last").alias("new")))
+    return single.filter("family <> 'family'").select("kind", "norm", "new").union(named)
 
 
 def replace(docs: DataFrame, key: str = "surrogates") -> DataFrame:
     """``docs`` with the entities of ``text`` replaced, and ``entities``: kinds in order of place.
 
     One entity has one surrogate wherever and however it is written; different entities have
-    different ones. Null texts stay null and empty ones empty, with no entities. Rows equal in id
+    different ones. A name behind a title is one or two words, and the last is the surname: 'Mr Smith'
+    gets the family name that every 'Mr ... Smith' gets. Null texts stay null and empty ones empty, with no entities. Rows equal in id
     and text get the same result. An empty table gives none. An own column named ``entities`` is
     replaced; other extra columns stay as they are.
     """

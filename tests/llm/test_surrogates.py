@@ -51,3 +51,21 @@ def test_repeated_rows_clashing_columns_and_empty(spark, frame):
     assert len({r["text"] for r in out}) == 1 and sorted(r["kind"] for r in out) == [1, 2, 3]
     assert all(r["entities"] == ["email"] for r in out)
     assert surrogates.replace(frame([])).count() == 0
+
+
+def test_one_word_names_stay_distinct_and_agree_with_full_ones(frame):
+    def word(k):
+        return "Q" + "".join(chr(97 + k // 26 ** e % 26) for e in range(3))
+    # The first free draws are real surnames as well, so the form that is written has to give way.
+    taken = ["".join(s).capitalize() for s in zip(["ba", "den", "fo", "gar"] * 9, ["hel", "ka", "lin"] * 12, ["mor", "ne"] * 18)]
+    names = [word(k) for k in range(3000)] + sorted(set(taken))
+    texts = [f"Mr {n} left" for n in names] + [f"Mrs {n} left" for n in names[:500]]
+    texts += [f"Mr. John {n} and Mr Paul {n} left" for n in names[:100]] + [f"Mr {word(k)} {names[0]} left" for k in range(60)]
+    out = [rows_["text"] for _, rows_ in sorted(rows(frame, texts).items())]
+    short = [t.split(" ")[1] for t in out[:len(names) + 500]]
+    assert len(set(short)) == len(short) and not set(short) & set(names)
+    full = [re.fullmatch(r"Mr\. (\w+) (\w+) and Mr (\w+) (\w+) left", t).groups() for t in out[len(names) + 500:][:100]]
+    for k, (a, b, c, d) in enumerate(full):
+        assert b == d == short[k] and a != c
+    others = [t.split(" ")[1:3] for t in out[-60:]]
+    assert {last for _, last in others} == {short[0]} and len({first for first, _ in others} | {full[0][0], full[0][2]}) == 62

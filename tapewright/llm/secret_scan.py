@@ -23,6 +23,12 @@ SENSITIVE = ("key", "secret", "token", "passw", "pwd", "auth", "credential", "be
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 CONTEXT_BEFORE = 48
+# A lower-case letter between others: letters of a key without digits, hardly ever of words in any capitals.
+_SCATTERED = re.compile(r"(?<![a-z])[a-z](?![a-z])")
+# Between two lines of one string: the break, with blanks, quotes and what continues a line around it.
+_NEXT_LINE = re.compile(r"""["'\x20\t+,\\]*(?:\r\n|\n|\r|\\r\\n|\\n)["'\x20\t+]*""")
+# The last line of an armoured key, shorter than a candidate.
+_LAST_LINE = re.compile(_NEXT_LINE.pattern + r"([A-Za-z0-9+/=]{1,15})(?=" + _NEXT_LINE.pattern + r"-----END)")
 SURROUNDING = 1024
 # Bytes that a candidate adds to its surroundings when compressed, by its length.
 NOVELTY = 0.8
@@ -42,6 +48,24 @@ def novelty(candidate: str, surrounding: str) -> float:
     return (len(press.compress(data)) - len(press.compress(b""))) / len(data)
 
 
+def _blanked(text: str, start: int, end: int) -> str:
+    """The surroundings of a candidate, other copies of it (or of a side of its equals sign) blanked out."""
+    candidate = text[start:end]
+    parts = {candidate, *(p for p in candidate.split("=") if len(p) >= 16)}
+    reach = SURROUNDING + end - start  # copies that the border of the surroundings cuts are seen whole
+    before, after = text[max(0, start - reach):start], text[end:end + reach]
+    for part in sorted(parts, key=lambda p: (-len(p), p)):
+        before, after = (t.replace(part, " " * len(part)) for t in (before, after))
+    return before[-SURROUNDING:] + after[:SURROUNDING]
+
+
+def _mixed(candidate: str) -> bool:
+    if not any(c.isalpha() for c in candidate):
+        return False
+    return any(c.isdigit() for c in candidate) or bool(
+        any(c.isupper() for c in candidate) and _SCATTERED.search(candidate))
+
+
 def spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) in code points, ordered."""
     found = []
@@ -53,15 +77,20 @@ def spans(text: str) -> list[tuple[int, int, int]]:
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     if any(word in lower for word in SENSITIVE):
         taken = sorted((start, end) for start, _, end in found)
+        last = None  # end of the latest candidate in context
         for m in _CANDIDATE.finditer(text):
             start, end = m.span()
-            mixed = any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])
-            if (not mixed or any(a < end and start < b for a, b in taken)
-                    or not _SENSITIVE.search(text, max(0, start - CONTEXT_BEFORE), start)):
+            if not (_SENSITIVE.search(text, max(0, start - CONTEXT_BEFORE), start)
+                    or last is not None and _NEXT_LINE.fullmatch(text, last, start)):
+                continue
+            last = end
+            if not _mixed(m[0]) or any(a < end and start < b for a, b in taken):
                 continue
-            around = text[max(0, start - SURROUNDING):start] + text[end:end + SURROUNDING]
-            if novelty(m[0], around) >= NOVELTY:
+            if novelty(m[0], _blanked(text, start, end)) >= NOVELTY:
                 found.append((start, 3, end))
+                tail = _LAST_LINE.match(text, end)
+                if tail:
+                    found.append((tail.start(1), 3, tail.end(1)))
     return sorted(found)
 
 
@@ -69,8 +98,9 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id and spans (kind, start, end) of every document, by start and then kind.
 
     Kinds are ``assign``, ``access`` and ``hex`` by pattern, and ``novel``: a mixed string behind a
-    sensitive word that its surroundings and common identifiers do not help to compress. Novel
-    spans overlap no other. Null and empty texts have none. Repeated rows each give a row, an
+    sensitive word, or on the lines that follow one, that its surroundings (other copies of it left
+    out) and common identifiers do not help to compress. Mixed are letters with digits, and capitals
+    with lower-case letters that stand alone. Novel spans overlap no other. Null and empty texts have none. Repeated rows each give a row, an
     empty table none. Extra columns are not read. Nothing is shuffled.
     """
     kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])

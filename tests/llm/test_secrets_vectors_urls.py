@@ -142,3 +142,20 @@ def test_links_elsewhere_change_no_verdict(spark):
     alone = verdicts(pages)
     assert set(alone.values()) == {"allow", "block"}
     assert verdicts(pages + more) == {**alone, 60: "allow"}
+
+
+def test_secrets_that_stand_twice_or_on_many_lines(frame):
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def wild(n, alphabet=letters + "0123456789+/"):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+    key, far, bare = wild(40), wild(200), "aBxQwKpLzRtYmNcV"
+    pem = [wild(64) for _ in range(24)] + [wild(10) + "=="]
+    texts = [f"the auth is '{key}'\nand call(private, '{key}')", f"key {far} " + "x y " * 230 + f" key {far} end",
+             "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(pem) + "\n-----END RSA PRIVATE KEY-----\n",
+             f"the private key is {bare} here", "the private key is AuthenticationManagerFactory here",
+             f"the private key is {key}\n\nsee also\n{far}"]
+    got = {r["doc_id"]: [r_text[s["start"]:s["end"]] for s in r["spans"]]
+           for r in secret_scan.scan(frame(texts)).collect() for r_text in [texts[r["doc_id"]]]}
+    assert got == {0: [key] * 2, 1: [far] * 2, 2: pem, 3: [bare], 4: [], 5: [key]}

@@ -223,10 +223,11 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
                      .filter(F.col("c") >= _need(F.col("n"))).drop("c"), "jaccard-postings")
     reps = (described.join(postings.select("sig").distinct(), "sig", "left_semi").groupBy("sig")
             .agg(F.min(F.struct("doc_id", "text_key")).alias("rep")).select("sig", "rep.*"))
+    # A repeated row meets its representative once for each copy; a set is taken once.
     sets = stage(
         narrow.alias("d").join(reps.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
                                & (F.col("d.text_key") == F.col("r.text_key")))
-        .select("r.sig", "d.text").mapInArrow(_fetch(size), "sig long, tokens binary"), "jaccard-tokens")
+        .select("r.sig", "d.text").dropDuplicates(["sig"]).mapInArrow(_fetch(size), "sig long, tokens binary"), "jaccard-tokens")
 
     # Groups: every set against the pivot it shares most tokens with. A token's pivot is the set whose
     # own tokens are the most widespread for its size: the original rather than one of its edits.

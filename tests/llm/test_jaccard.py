@@ -63,3 +63,19 @@ def test_keep_one_tells_components_apart_by_more_than_ids(spark):
     assert kept - {3, 8} == {1, 2, 4, 7} and len(kept & {3, 8}) == 1
     linked = jaccard.link(docs).collect()
     assert len({r["root"] for r in linked}) == 5 and {r["component_id"] for r in linked} == {None, 5, 8}
+
+
+def test_repeated_rows_are_one_set(spark, corpus, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON_GROUPS", 1)
+    rarest, seen = jaccard._rarest, []
+
+    def watched(crowded, sets):
+        seen.append((crowded.count(), sets.count(), sets.select("sig").distinct().count()))
+        return rarest(crowded, sets)
+    monkeypatch.setattr(jaccard, "_rarest", watched)
+    texts = [(i, t) for i, t in enumerate(corpus) if len(t or "") < 5000]
+    docs = spark.createDataFrame(texts + texts[::2] * 5 + [texts[0]] * 40, "doc_id long, text string").repartition(5)
+    rows = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(docs).collect()}
+    place = {k: i for k, (i, _) in enumerate(texts)}
+    assert rows == {place[k]: (n, place[c]) for k, (n, c) in brute([t for _, t in texts]).items()}
+    assert seen[0][0] > 0 and seen[0][1] == seen[0][2]

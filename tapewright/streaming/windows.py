@@ -36,6 +36,12 @@ def ohlcv(trades: DataFrame, width: str = "1 hour", delay: str = DELAY) -> DataF
 
 
 def deduplicate(trades: DataFrame, delay: str = DELAY) -> DataFrame:
-    """One row per (symbol, trade id) among copies closer together than the delay."""
+    """One row per (symbol, trade id) among copies closer together than the delay.
+
+    Trades without an id are told apart by their record id, or by all they hold where there is none.
+    """
+    own = [F.col("record_id")] if "record_id" in trades.columns else []
+    record = F.coalesce(*own, F.to_json(F.struct(*trades.columns)))
     return (with_clock(trades, "event_time", delay)
-            .dropDuplicatesWithinWatermark(["symbol", "trade_id"]).drop("clock"))
+            .withColumn("_record", F.when(F.col("trade_id").isNull(), record))
+            .dropDuplicatesWithinWatermark(["symbol", "trade_id", "_record"]).drop("clock", "_record"))

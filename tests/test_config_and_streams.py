@@ -6,7 +6,7 @@ from tapewright.operators import subscriptions
 from tapewright.operators.export import flatten
 from tapewright.session import fresh_path, shared_folder
 from tapewright.sources import symbols
-from tapewright.streaming import alerts, ema_state, ingest, sinks
+from tapewright.streaming import alerts, ema_state, ingest, sinks, windows
 
 
 def names(frame):
@@ -98,3 +98,20 @@ def test_anomaly_alert(spark):
                                    "symbol string, bar_ms bigint, zscore double, is_anomaly boolean")
     assert [(r.rule, r.measure) for r in alerts.from_anomalies(scored).collect()] == [
         ("price_anomaly", 4.0)]
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_trades_without_an_id_are_not_copies_of_each_other(spark, named):
+    schema = "symbol string, trade_id long, event_time long, price double, record_id string"
+    rows = [("A", None, 1000, 1.0, "r1"), ("A", None, 1000, 2.0, "r2"), ("A", None, 1000, 2.0, "r2"),
+            ("A", 7, 1000, 1.0, "r3"), ("A", 7, 1000, 1.0, "r4")]
+    root = fresh_path(spark, "test-dedupe")
+    trades = spark.createDataFrame(rows, schema)
+    if not named:
+        trades = trades.drop("record_id")
+    trades.write.parquet(f"{root}/trades")
+    stream = spark.readStream.schema(trades.schema).parquet(f"{root}/trades")
+    sinks.drain_to_table(windows.deduplicate(stream), f"{root}/out", f"{root}/checkpoint")
+    out = spark.read.parquet(f"{root}/out")
+    assert out.columns == trades.columns
+    assert sorted((r["trade_id"] or 0, r["price"]) for r in out.collect()) == [(0, 1.0), (0, 2.0), (7, 1.0)]

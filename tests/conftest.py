@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
 
-SMALL = "/root/testdata/sf0.001"
-CHECKED = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

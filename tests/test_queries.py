@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SMALL
+from given_tables import SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()

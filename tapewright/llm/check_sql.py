@@ -1,4 +1,4 @@
-"""DuckDB SQL for the operators of this subpackage that SQL can express: mixing, quality and url rules."""
+"""DuckDB SQL for the operators of this subpackage that SQL can express."""
 
 from __future__ import annotations
 
@@ -147,3 +147,13 @@ judged AS (
 SELECT page_id, r.host, path, rule, coalesce(ruled, by_host, 'allow') AS verdict,
        coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
 FROM ruled r LEFT JOIN judged USING (host)"""
+
+
+def exact_dedup() -> str:
+    return """
+WITH norm AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+  FROM documents),
+same AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM norm GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
+FROM norm JOIN same USING (norm)"""

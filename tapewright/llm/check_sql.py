@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tapewright.llm import mixing, quality, url_trust
+from tapewright.llm import hard_negatives, mixing, quality, spelling, url_trust
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _BLANK = r"[\x20\x09-\x0D]"
@@ -157,3 +157,80 @@ WITH norm AS (
 same AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM norm GROUP BY norm)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
 FROM norm JOIN same USING (norm)"""
+
+
+def spelling_variants() -> str:
+    """Near words by a path of its own: deleting one letter of each word, and joining what is left."""
+    return rf"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS v FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+counted AS (
+  SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x
+  FROM runs WHERE length(run) >= {spelling.LEAST_LETTERS} GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+           list_transform(range(0, length(x) // 2), lambda b: ('0x' || substr(x, 2 * b + 1, 2))::BIGINT),
+           lambda h, b: xor(h >> 8, v[(xor(h, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h
+  FROM counted, crc),
+slipped AS (
+  SELECT CASE WHEN h % {spelling.SLIP} = 0
+              THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= {spelling.LEAST_LETTERS}
+  GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+cut AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION
+  SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS best_n,
+         first(other ORDER BY other_n DESC, encode(other)) AS best FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best_n >= {spelling.FORM_LIFT} * n THEN best END AS form,
+         CASE WHEN best_n >= {spelling.FORM_LIFT} * n THEN best_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root FROM forms
+  UNION
+  SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL),
+roots AS (
+  SELECT c.word, c.root FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+
+def hard_negatives_mined() -> str:
+    return f"""
+WITH usable AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % {hard_negatives.RELABEL_STEP} = 0
+           THEN (label + 1) % {hard_negatives.LABELS} ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+  WHERE a.vec_id % {hard_negatives.ANCHOR_STEP} = 0),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard_negatives.POSITIVES})
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+ AND {hard_negatives.LOW_PERCENT} * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= {hard_negatives.NEGATIVES}"""

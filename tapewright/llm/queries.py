@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewright.llm import (
-    block_names, byte_bpe, check_sql, jaccard, line_dedup, mixing, near_vectors, quality, secret_scan, sharding, surrogates,
-    url_trust,
+    block_names, byte_bpe, check_sql, hard_negatives, jaccard, line_dedup, mixing, near_vectors, quality, secret_scan,
+    sharding, spelling, surrogates, url_trust,
 )
 from tapewright.session import prepare
 
@@ -91,6 +91,14 @@ def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+def hard_negatives_mined(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, folder, "embeddings"))
+
+
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return block_names.groups(_table(spark, folder, "documents"))
 
@@ -107,10 +115,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_vector_near_dedup": vector_near_dedup,
         "op9_shard_tree": shard_tree,
         "op10_secret_spans": secret_spans,
+        "op11_hard_negatives": hard_negatives_mined,
+        "op12_spelling_variants": spelling_variants,
         "op13_exact_dedup": exact_dedup,
     }
 
 
 def checks() -> dict[str, str]:
     return {"op1_mix_sources": check_sql.mix(), "op4_quality_rules": check_sql.quality_rules(),
-            "op5_url_filter": check_sql.url_filter(), "op13_exact_dedup": check_sql.exact_dedup()}
+            "op5_url_filter": check_sql.url_filter(),
+            "op11_hard_negatives": check_sql.hard_negatives_mined(), "op12_spelling_variants": check_sql.spelling_variants(),
+            "op13_exact_dedup": check_sql.exact_dedup()}

@@ -127,7 +127,8 @@ def _compare(table: pa.Table) -> pa.Table:
     words, n = table.column("word").to_pylist(), table.column("n").to_numpy()
     mine = np.flatnonzero(side == 0)
     own, own_n = [words[k] for k in mine], n[mine]
-    length = len(own[0])
+    # Words are dealt to parts by hash, so a part can be empty.
+    length = len(own[0]) if own else 0
     a = _letters(own, length)
     place, order = _ranked(own, own_n)
     out: list[tuple[str, int, int, str]] = []
@@ -137,7 +138,7 @@ def _compare(table: pa.Table) -> pa.Table:
             first = by[best.rank[k]]
             out.append((names[k], int(best.count[k]), int(of_n[first]), of[first]))
     for kind in (1, 2):  # others, itself
-        for more in (0, 1):
+        for more in (0, 1) if own else ():
             theirs = [k for k in np.flatnonzero(side == kind) if len(words[k]) == length + more]
             for low in range(0, len(theirs), 2 * PART_WORDS):
                 part = theirs[low:low + 2 * PART_WORDS]

@@ -69,8 +69,9 @@ def _grouped(docs: DataFrame, carried: list[str], block: int) -> DataFrame:
         F.monotonically_increasing_id().alias("row")), "block-names-rows")
     named = _identities(rows.filter("norm is not null").select("row", "norm"), block)
     members = stage(named.join(rows.select("row", "doc_id"), "row"), "block-names-members")
-    groups = members.groupBy("depth", "name").agg(
-        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("stays"))
+    # Written before it is joined, so that the rows of a hot group are split among tasks.
+    groups = stage(members.groupBy("depth", "name").agg(
+        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("stays")), "block-names-groups")
     told = members.join(groups, ["depth", "name"]).select(
         "row", F.col("stays.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("stays.row")).alias("kept"))
     shared = rows.filter("norm is not null").drop("norm").join(told, "row")

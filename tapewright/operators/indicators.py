@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.operators.bars import WIDTHS_MS, fill_gaps
-from tapewright.operators.series import Chunks, ema_decay, run_length, with_position
+from tapewright.operators.series import Chunks, ema_decay, one_run, run_length, with_position
 
 PLAIN_RUN = 4096
+# Decays closer than this are not told apart by a difference without loss of digits.
+LEAST_GAP = 1e-3
 
 
 def _positioned(bars: DataFrame, width: str, fill: bool) -> DataFrame:
@@ -57,7 +59,7 @@ def _smoothed(rows: DataFrame, column: str, span: int, name: str) -> DataFrame:
     decay = ema_decay(span)
     chunks = Chunks(rows, 0, run_length(decay))
     taken = chunks.rows.withColumn("_in", _ema_input(column, decay))
-    return chunks.finish(chunks.recurrence(taken, decay, {name: "_in"})).drop("_in")
+    return chunks.finish(chunks.recurrence(taken, {name: ("_in", decay)})).drop("_in")
 
 
 def ema(bars: DataFrame, width: str, span: int = 12, fill: bool = False) -> DataFrame:
@@ -66,11 +68,28 @@ def ema(bars: DataFrame, width: str, span: int = 12, fill: bool = False) -> Data
 
 def macd(bars: DataFrame, width: str, fast: int = 12, slow: int = 26, signal: int = 9,
          fill: bool = False) -> DataFrame:
-    """Each of the three averages carries its state from run to run, so any spans go together."""
-    rows = _smoothed(_positioned(bars, width, fill), "close", fast, "_fast")
-    rows = _smoothed(rows, "close", slow, "_slow").withColumn("macd", F.col("_fast") - F.col("_slow"))
-    rows = _smoothed(rows, "macd", signal, "signal")
-    return rows.withColumn("histogram", F.col("macd") - F.col("signal")).drop("_fast", "_slow")
+    """The line is the fast average less the slow one, the signal the average of the line.
+
+    An average (decay b) of an average (decay a) is a difference of two sums over the same input, one
+    fading by a and one by b, over a - b. So all of it is four sums of one pass. Where a and b agree,
+    or differ so much that they cannot share runs, the averages are taken one after the other.
+    """
+    rows = _positioned(bars, width, fill)
+    a, c, b = (ema_decay(span) for span in (fast, slow, signal))
+    size = one_run(a, c, b)
+    if size is None or min(abs(a - b), abs(c - b)) < LEAST_GAP or min(a, b, c) <= 0.0:
+        rows = _smoothed(rows, "close", fast, "_fast")
+        rows = _smoothed(rows, "close", slow, "_slow").withColumn("macd", F.col("_fast") - F.col("_slow"))
+        rows = _smoothed(rows, "macd", signal, "signal")
+        return rows.withColumn("histogram", F.col("macd") - F.col("signal")).drop("_fast", "_slow")
+    chunks = Chunks(rows, 0, size)
+    taken = chunks.rows.withColumns({"_fast_in": _ema_input("close", a), "_slow_in": _ema_input("close", c)})
+    rows = chunks.recurrence(taken, {"_fast": ("_fast_in", a), "_slow": ("_slow_in", c),
+                                     "_fast_b": ("_fast_in", b), "_slow_b": ("_slow_in", b)})
+    again = ((a * F.col("_fast") - b * F.col("_fast_b")) / (a - b) - (c * F.col("_slow") - b * F.col("_slow_b")) / (c - b))
+    rows = rows.withColumns({"macd": F.col("_fast") - F.col("_slow"), "signal": F.lit(1.0 - b) * again})
+    return chunks.finish(rows.withColumn("histogram", F.col("macd") - F.col("signal"))).drop(
+        "_fast_in", "_slow_in", "_fast", "_slow", "_fast_b", "_slow_b")
 
 
 def rsi(bars: DataFrame, width: str, n: int = 14, fill: bool = False) -> DataFrame:
@@ -91,7 +110,7 @@ def rsi(bars: DataFrame, width: str, n: int = 14, fill: bool = False) -> DataFra
                 .otherwise(F.coalesce(F.col(column), F.lit(0.0)) / n))
 
     rows = rows.withColumns({"_up_in": seeded("_gain"), "_down_in": seeded("_loss")})
-    rows = chunks.recurrence(rows, decay, {"_up": "_up_in", "_down": "_down_in"}, ratio=True)
+    rows = chunks.recurrence(rows, {"_up": ("_up_in", decay), "_down": ("_down_in", decay)}, ratio=True)
     value = (F.when((F.col("_up") == 0) & (F.col("_down") == 0), 50.0)
              .when(F.col("_down") == 0, 100.0)
              .otherwise(100.0 - 100.0 / (1.0 + F.col("_up") / F.col("_down"))))

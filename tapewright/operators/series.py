@@ -18,6 +18,8 @@ BUCKET_BARS = 1440
 # Exponent span of one run's scaled sums: e**600 is far from overflow, and a run's own last values
 # outweigh what came two runs earlier by more than a double resolves.
 SPAN = 600.0
+# What is older than this many times the decay's own length is below the resolution of a double: e**-80.
+RESOLVED = 80.0
 
 
 def bucket_states(rows: DataFrame, key: str, bucket: str, **state: Column) -> DataFrame:
@@ -67,46 +69,53 @@ class Chunks:
     def ordered(self):
         return self._by
 
-    def recurrence(self, rows: DataFrame, decay: float, inputs: dict[str, str], ratio: bool = False) -> DataFrame:
-        """Add, per name, the sum of decay**age * input over this and all earlier rows; lead rows go.
+    def recurrence(self, rows: DataFrame, inputs: dict[str, tuple[str, float]], ratio: bool = False) -> DataFrame:
+        """Add, per name -> (input, decay), the sum of decay**age * input over this and all earlier rows; lead rows go.
 
         A run adds up its own values, scaled by decay**-k, and receives what its predecessors left:
         one row a run, read in order. That is the sum of the last run with a value other than 0 and
         of the run before it; all older ones are below its resolution, since runs are as long as
-        SPAN allows. Flat stretches of any length therefore change nothing. With ``ratio`` the sums
-        of a row may share a positive factor, so that their ratio outlives sums that become 0.
+        SPAN allows (``one_run`` says which decays may share a run). Flat stretches of any length therefore
+        change nothing. With ``ratio`` the sums of a row, of one decay, may share a positive factor, so that
+        their ratio outlives sums that become 0.
         """
         own = rows.filter(~F.col("_lead"))
-        if decay <= 0.0:
-            return own.withColumns({name: F.col(value) for name, value in inputs.items()})
+        own = own.withColumns({name: F.col(value) for name, (value, decay) in inputs.items() if decay <= 0.0})
+        inputs = {name: given for name, given in inputs.items() if given[1] > 0.0}
+        if not inputs:
+            return own
         place = F.col("_k") - F.lit(self.halo)
-        to_end = F.pow(F.lit(decay), F.lit(self.size - 1) - place)
+        to_end = F.lit(self.size - 1) - place
         ends = own.groupBy(self.key, "_chunk").agg(*[
-            F.coalesce(F.sum(F.col(value) * to_end), F.lit(0.0)).alias(name) for name, value in inputs.items()])
+            F.coalesce(F.sum(F.col(value) * F.pow(F.lit(decay), to_end)), F.lit(0.0)).alias(name)
+            for name, (value, decay) in inputs.items()])
         in_order = W.partitionBy(self.key).orderBy("_chunk")
         lives = F.lit(False)
         for name in inputs:
             lives = lives | (F.col(name) != 0)
         totals = [(F.col(name) + F.lit(decay ** self.size) * F.coalesce(F.lag(name).over(in_order), F.lit(0.0)))
-                  .alias(name) for name in inputs]
+                  .alias(name) for name, (_, decay) in inputs.items()]
         left = F.when(lives, F.struct(F.col("_chunk").alias("run"), *totals))
         carry = (ends.select(self.key, "_chunk", left.alias("_left"))
                  .select(self.key, "_chunk", F.last("_left", ignorenulls=True).over(
                      in_order.rowsBetween(W.unboundedPreceding, -1)).alias("_left")))
-        grow = F.pow(F.lit(1.0 / decay), place)
         so_far = self._by.rowsBetween(W.unboundedPreceding, 0)
-        local = {f"_own_{name}": F.coalesce(F.sum(F.col(value) * grow).over(so_far) / grow, F.lit(0.0))
-                 for name, value in inputs.items()}
+        local = {}
+        for name, (value, decay) in inputs.items():
+            grow = F.pow(F.lit(1.0 / decay), place)
+            local[f"_own_{name}"] = F.coalesce(F.sum(F.col(value) * grow).over(so_far) / grow, F.lit(0.0))
         age = (F.col("_chunk") - F.col("_left.run") - 1) * F.lit(self.size) + place + 1
-        faded = F.when(F.col("_left").isNotNull(), F.pow(F.lit(decay), age)).otherwise(0.0)
         silent = F.lit(ratio)
         for name in local:
             silent = silent & (F.col(name) == 0)
-        return (own.withColumns(local).join(carry, [self.key, "_chunk"]).withColumn("_faded", faded)
-                .withColumns({name: F.coalesce(F.when(silent, F.col(f"_left.{name}")).otherwise(
-                    F.col(f"_own_{name}") + F.coalesce(F.col(f"_left.{name}"), F.lit(0.0)) * F.col("_faded")), F.lit(0.0))
-                    for name in inputs})
-                .drop("_left", "_faded", *local))
+
+        def whole(name: str, decay: float) -> Column:
+            # No run before leaves null, which counts as nothing.
+            faded = F.coalesce(F.col(f"_left.{name}") * F.pow(F.lit(decay), age), F.lit(0.0))
+            return F.coalesce(F.when(silent, F.col(f"_left.{name}")).otherwise(F.col(f"_own_{name}") + faded), F.lit(0.0))
+        return (own.withColumns(local).join(carry, [self.key, "_chunk"])
+                .withColumns({name: whole(name, decay) for name, (_, decay) in inputs.items()})
+                .drop("_left", *local))
 
     def finish(self, rows: DataFrame) -> DataFrame:
         return rows.filter(~F.col("_lead")).drop("_lead", "_chunk", "_k")
@@ -119,3 +128,9 @@ def ema_decay(span: int) -> float:
 def run_length(decay: float) -> int:
     """Rows of a run whose scaled sums stay finite."""
     return max(1, math.floor(SPAN / -math.log(decay))) if decay > 0.0 else 4096
+
+
+def one_run(*decays: float) -> int | None:
+    """Length of runs that serve all these decays, or None where the slowest outlasts two runs of the fastest."""
+    size = min(map(run_length, decays))
+    return size if all(d <= 0.0 or 2 * size * -math.log(d) >= RESOLVED for d in decays) else None

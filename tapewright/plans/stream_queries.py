@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright import feed_values as fv
-from tapewright.functions.routing import fixed6
+from tapewright.functions.routing import fixed6, timestamp_of
 from tapewright.operators import envelope
 from tapewright.plans.bronze_queries import trades
 from tapewright.plans.check_views import fixed6 as sql6
@@ -22,14 +22,15 @@ from tapewright.plans.market_queries import (
     hourly,
     start,
 )
-from tapewright.plans.registry import query
+from tapewright.plans.registry import CHECKS, query
 from tapewright.session import fresh_path
 from tapewright.sources import feed, lake
 from tapewright.sources.tables import events_stream
-from tapewright.streaming import alerts, ema_state, ingest, sinks, windows
+from tapewright.sources.tables import table
+from tapewright.streaming import alerts, indicator_state, ingest, sinks, window_table, windows
 
-# A window is out once the newest event minus the delay has passed its end.
-_CLOSED = "(SELECT max({0}) - 600000 FROM {1})"
+# Batches in which the tables below arrive, each with rows of all times.
+BATCHES = 3
 
 
 def stream_messages(spark, folder):
@@ -73,16 +74,16 @@ def stream_ingest_places(spark, folder):
     return functools.reduce(DataFrame.union, places)
 
 
-@query("stream_minute_counts", over("ids", f"""
+@query("stream_minute_counts", over("ids", """
 SELECT make_timestamp((received_time - received_time % 60000) * 1000) AS minute, stream_type,
        count(*) AS n
-FROM ids
-WHERE received_time - received_time % 60000 + 60000 <= {_CLOSED.format("received_time", "ids")}
-GROUP BY ALL"""))
+FROM ids GROUP BY ALL"""))
 def stream_minute_counts(spark, folder):
-    rows = envelope.normalize(stream_messages(spark, folder))
-    return _drained(spark, windows.minute_counts(rows), "stream_minutes").withColumn(
-        "minute", F.col("minute").cast("timestamp_ntz"))
+    root = fresh_path(spark, "stream_minutes")
+    events = window_table.arrivals(table(spark, folder, "events"), "event_id", BATCHES)
+    window_table.keep_minute_counts(envelope.normalize(feed.raw_messages(events)), root, f"{root}/checkpoint")
+    return window_table.read_minute_counts(spark, root).select(
+        timestamp_of(F.col("minute_ms")).alias("minute"), "stream_type", "n")
 
 
 @query("stream_dedupe", over("redelivered", """
@@ -109,12 +110,13 @@ def stream_late_rows(spark, folder):
 
 
 @query("stream_ohlcv", over("trades", f"""
-SELECT symbol, {SQL_START}, open, high, low, close, volume, trades FROM bars
-WHERE bar_ms + 3600000 <= {_CLOSED.format("event_time", "trades")}""", HOURLY))
+SELECT symbol, {SQL_START}, open, high, low, close, volume, trades FROM bars""", HOURLY))
 def stream_ohlcv(spark, folder):
-    rows = windows.ohlcv(stream_trades(spark, folder))
-    return _drained(spark, rows, "stream_ohlcv").withColumn(
-        "bar_start", F.col("bar_start").cast("timestamp_ntz"))
+    root = fresh_path(spark, "stream_ohlcv")
+    ticks = window_table.arrivals(trades(spark, folder), "trade_id", BATCHES)
+    window_table.keep_bars(ticks, root, f"{root}/checkpoint")
+    return window_table.read_bars(spark, root).select(
+        "symbol", start(), "open", "high", "low", "close", "volume", "trades")
 
 
 @query("stream_alerts", over("ids", f"""
@@ -135,14 +137,32 @@ def stream_alerts(spark, folder):
         "event_id", "rule", fixed6(F.col("measure")).alias("measure"))
 
 
+def _followed(spark, folder, label):
+    """Hourly bars arrive out of order; their indicators are kept in a table."""
+    root = fresh_path(spark, label)
+    bars = window_table.arrivals(hourly(spark, folder).select("symbol", "bar_ms", "close"), "bar_ms", BATCHES)
+    kept = indicator_state.Indicators(spark, root)
+    kept.follow(bars, f"{root}/checkpoint")
+    return kept.values()
+
+
 @query("stream_ema", _recursive(f"""
 SELECT symbol, {SQL_START}, {sql6("y")} AS ema FROM e12 JOIN pos USING (symbol, pos)""",
                                 _recursion("close", "e12", _D[12], "pos")))
 def stream_ema(spark, folder):
-    """Hourly bars land in a table; the stream over it carries each symbol's average along."""
-    root = fresh_path(spark, "stream_ema")
-    bars = hourly(spark, folder).select("symbol", "bar_ms", "close")
-    bars.write.parquet(f"{root}/bars")
-    closed = spark.readStream.schema(bars.schema).parquet(f"{root}/bars")
-    return _drained(spark, ema_state.stream_ema(closed), "stream_ema_out").select(
-        "symbol", start(), fixed6(F.col("ema")).alias("ema"))
+    return _followed(spark, folder, "stream_ema").select("symbol", start(), fixed6(F.col("ema")).alias("ema"))
+
+
+@query("stream_rsi", CHECKS["rsi"])
+def stream_rsi(spark, folder):
+    return _followed(spark, folder, "stream_rsi").select("symbol", start(), fixed6(F.col("rsi")).alias("rsi"))
+
+
+@query("stream_anomaly_alerts", f"""
+SELECT symbol, bar_start AS at, 'price_anomaly' AS rule, zscore AS measure
+FROM ({CHECKS["anomaly_zscore"]}) WHERE is_anomaly""")
+def stream_anomaly_alerts(spark, folder):
+    """An alert stands while its bar is an anomaly: a late bar before it may raise or withdraw it."""
+    raised = alerts.from_anomalies(_followed(spark, folder, "stream_anomaly"))
+    return raised.select("symbol", timestamp_of(F.col("received_time")).alias("at"), "rule",
+                         fixed6(F.col("measure")).alias("measure"))

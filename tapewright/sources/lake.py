@@ -34,6 +34,11 @@ def _write(rows: DataFrame, path: str, mode: str, partition) -> None:
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
+def replace_partitions(rows: DataFrame, path: str, partition=PARTITION) -> None:
+    """Overwrite the partitions that ``rows`` holds; ``rows`` must not be read from ``path``."""
+    _write(rows, path, "overwrite", partition)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Partition columns stay text, whatever they look like."""
     setting = "spark.sql.sources.partitionColumnTypeInference.enabled"

@@ -6,7 +6,7 @@ from tapewright.operators import subscriptions
 from tapewright.operators.export import flatten
 from tapewright.session import fresh_path, shared_folder
 from tapewright.sources import symbols
-from tapewright.streaming import alerts, ema_state, ingest, sinks, windows
+from tapewright.streaming import alerts, ingest, sinks, windows
 
 
 def names(frame):
@@ -65,22 +65,6 @@ def test_flatten_nested(spark):
     assert row.asDict() == {"s_a": 1, "s_b_c": "[1,2]", "d": 2}
 
 
-def test_average_goes_on_over_batches_and_ignores_repeats(spark):
-    root = fresh_path(spark, "ema")
-    values = [10.0, 12.0, 11.0, 15.0, 9.0, 14.0]
-    schema = "symbol string, bar_ms bigint, close double"
-    for part in ([0, 1, 2], [2, 4, 3], [5]):
-        spark.createDataFrame([("A", i, values[i]) for i in part], schema).write.mode(
-            "append").parquet(f"{root}/bars")
-        stream = spark.readStream.schema(schema).parquet(f"{root}/bars")
-        sinks.drain_to_table(ema_state.stream_ema(stream), f"{root}/out", f"{root}/checkpoint")
-    found = [r.ema for r in spark.read.parquet(f"{root}/out").orderBy("bar_ms").collect()]
-    expected = []
-    for v in values:
-        expected.append(v if not expected else expected[-1] * (1 - 2 / 13) + v * 2 / 13)
-    assert found == pytest.approx(expected)
-
-
 def test_repeated_batch_changes_nothing(spark):
     root = fresh_path(spark, "ingest")
     batch = spark.createDataFrame(

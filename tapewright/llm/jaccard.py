@@ -262,8 +262,9 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     crowded = rows.filter("must <= 0").select("sig", "n", "root").distinct()
     # In its own group, what is not already one with the pivot is compared with all.
     apart = members.filter("members > 1 and not (part <=> main)").select("sig", "n", "root")
-    opened = by_count.union(_rarest(crowded, sets)).union(apart).distinct()
-    far = _open(stage(opened, "jaccard-opened"), members, sets, percent)
+    few, hubs, at_hubs = _rarest(crowded, sets)
+    opened = by_count.union(few).union(apart).union(at_hubs).distinct()
+    far = _open(stage(opened, "jaccard-opened"), members.select(*hubs.columns).union(hubs), sets, percent)
     final = components(close.union(far), "a", "b").withColumnRenamed("node", "sig")
     rooted = described.join(final, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     rooted = stage(rooted.select("doc_id", "text_key", "n", "root"), "jaccard-rooted")
@@ -305,13 +306,16 @@ def _compare(percent: int):
             names = members.column("b").to_pylist()
             own = [np.frombuffer(t, np.int64) for t in members.column("held").to_pylist()]
             sizes = np.array([len(t) for t in own])
-            flat, first = np.concatenate(own), np.cumsum(sizes) - sizes
+            flat = np.concatenate(own)
             tied = np.full(len(own), -1)
+            order = np.argsort(flat, kind="stable")
+            token, row = flat[order], np.repeat(np.arange(len(own)), sizes)[order]
             for k, (a, packed) in enumerate(zip(queries.column("a").to_pylist(), queries.column("asked").to_pylist())):
                 tokens = np.frombuffer(packed, np.int64)
-                at = np.searchsorted(tokens, flat)
-                at[at == len(tokens)] = 0
-                inter = np.add.reduceat((tokens[at] == flat).astype(np.int64), first)
+                low = np.searchsorted(token, tokens, "left")
+                count = np.searchsorted(token, tokens, "right") - low
+                at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                inter = np.bincount(row[at], minlength=len(own))
                 hit = np.flatnonzero(100 * inter >= percent * (len(tokens) + sizes - inter))
                 if len(hit):
                     # One link to each member nobody is tied to yet, and to each set of tied members.
@@ -349,23 +353,40 @@ def _open(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
         inside.groupBy(*[f"m_{c}" for c in keys])).applyInArrow(_compare(percent), "a long, b long")
 
 
-def _rarest(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """Queries and groups among sets whose posted tokens are common: (sig, n, root).
+def _rarest(crowded: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For sets whose posted tokens are common: queries and groups (sig, n, root), groups of their own
+    (sig, root, members), and queries to those.
 
     All their tokens are ordered by how many of these sets have them. Linked sets share one among
     the n/5 + 1 rarest of both, so a passage that many share is not looked at where a set has
-    enough of its own.
+    enough of its own. A token of few sets names the groups to open. Sets that come down to common ones, a family of
+    near misses, would meet pair by pair through them. They are grouped anew, each by the most common token of
+    its prefix, its hub. Most of a family has one of few hubs, so the rows stay few: a query for each set and hub whose
+    members have a token of its prefix in theirs.
     """
     tokens = stage(crowded.join(sets, "sig").select("sig", "n", "root", "tokens").mapInArrow(
         _unpack, "sig long, n long, root long, token long"), "jaccard-crowded")
     spread = tokens.groupBy("token").agg(
         F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high"))
     rank = F.row_number().over(Window.partitionBy("sig").orderBy("f", "token"))
-    prefix = (tokens.join(spread, "token").withColumn("rank", rank)
-              .filter("rank <= n - floor((4 * n + 4) / 5) + 1 and low <> high").select("token", "sig", "n", "root"))
-    group = prefix.select("token", F.col("root").alias("other")).distinct()
-    return (prefix.join(group, "token").filter("other < root")
-            .select("sig", "n", F.col("other").alias("root")).distinct())
+    prefix = stage(tokens.join(spread, "token").withColumn("rank", rank)
+                   .filter("rank <= n - floor((4 * n + 4) / 5) + 1 and low <> high")
+                   .select("token", "sig", "n", "root", "f"), "jaccard-prefix")
+    rare = prefix.filter(F.col("f") <= COMMON_GROUPS)
+    group = rare.select("token", F.col("root").alias("other")).distinct()
+    few = (rare.join(group, "token").filter("other < root")
+           .select("sig", "n", F.col("other").alias("root")).distinct())
+    common = prefix.filter(F.col("f") > COMMON_GROUPS)
+    hub = common.groupBy("sig", "n").agg(F.max(F.struct("f", "token")).alias("hub")).select(
+        "sig", "n", F.xxhash64("hub.token", F.lit("hub")).alias("root"))
+    hub = stage(hub, "jaccard-hubs")
+    sizes = hub.groupBy("root").agg(F.count("*").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    held = common.select("token", "sig").join(hub, "sig")
+    theirs = held.select("token", F.col("root").alias("other")).distinct().join(
+        sizes.select(F.col("root").alias("other"), "least_n", "most_n"), "other")
+    asked = (held.join(theirs, "token").filter("other <= root and 5 * most_n >= 4 * n and 4 * least_n <= 5 * n")
+             .select("sig", "n", F.col("other").alias("root")).distinct())
+    return few, hub.join(sizes, "root").select("sig", "root", "members"), asked
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:

@@ -1,10 +1,17 @@
+import random
 import re
 
-from tapewright.llm import jaccard
+import pytest
+
+from tapewright.llm import jaccard, line_dedup
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
+def prose(rng, n, vocabulary):
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
 def shingles(text):
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = WORD.findall(lower)
@@ -79,3 +86,31 @@ def test_repeated_rows_are_one_set(spark, corpus, monkeypatch):
     place = {k: i for k, (i, _) in enumerate(texts)}
     assert rows == {place[k]: (n, place[c]) for k, (n, c) in brute([t for _, t in texts]).items()}
     assert seen[0][0] > 0 and seen[0][1] == seen[0][2]
+
+
+@pytest.mark.parametrize("seed, line", [(1, 10), (3, 25)])
+def test_families_of_near_misses_open_few_groups(spark, monkeypatch, seed, line):
+    """Texts that lost their shared runs but still have most of their shingles in common, without a link."""
+    rng = random.Random(seed)
+    rows, stage = {}, jaccard.stage
+
+    def counted(frame, label):
+        out = stage(frame, label)
+        rows[label] = out.count()
+        return out
+    monkeypatch.setattr(jaccard, "stage", counted)
+    opened = {}
+    for n in (500, 2000):
+        base, docs = prose(rng, 200, 5000), []
+        for i in range(n):
+            words = list(base)
+            for k in rng.sample(range(200), 6):
+                words[k] = f"e{rng.randrange(10 ** 7)}"
+            docs.append((i, "\n".join(" ".join(words[k:k + line]) for k in range(0, 200, line))))
+        cleaned = stage(line_dedup.clean(spark.createDataFrame(docs, "doc_id long, text string").repartition(8)), "cleaned")
+        found = jaccard.link(cleaned).collect()
+        opened[n] = rows["jaccard-opened"]
+        if n == 500:
+            texts = [r["text"] for r in cleaned.orderBy("doc_id").collect()]
+            assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts)
+    assert opened[500] < 10 * 500 and opened[2000] < 6 * opened[500]

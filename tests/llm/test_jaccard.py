@@ -113,4 +113,5 @@ def test_families_of_near_misses_open_few_groups(spark, monkeypatch, seed, line)
         if n == 500:
             texts = [r["text"] for r in cleaned.orderBy("doc_id").collect()]
             assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts)
-    assert opened[500] < 10 * 500 and opened[2000] < 6 * opened[500]
+    # About five a text at any size (1,000 to 8,000 measured); the square of a family would be far beyond.
+    assert all(pairs < 8 * n for n, pairs in opened.items())

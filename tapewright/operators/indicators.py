@@ -179,3 +179,37 @@ def lagged_fit(bars: DataFrame, width: str, fill: bool = False) -> DataFrame:
     return fit.withColumn("forecast", F.col("intercept") + F.col("slope") * F.col("last_close"))
 
 
+def lag_regression(bars: DataFrame, width: str, lags: int = 3, fill: bool = False) -> DataFrame:
+    """Per symbol, least squares of a close on the ``lags`` closes before it: beta_1 .. beta_k, intercept, n, forecast.
+
+    One aggregate takes the covariances of all pairs (mergeable, so a long series is spread over many tasks); the
+    small symmetric system is then eliminated column by column, which needs no pivot. Where the
+    closes do not determine the weights (a flat series, too few bars) they are null.
+    """
+    chunks = Chunks(_positioned(bars, width, fill), lags, PLAIN_RUN)
+    names = [f"_x{k}" for k in range(1, lags + 1)]
+    rows = chunks.finish(chunks.rows.withColumns(
+        {name: F.lag("close", k).over(chunks.ordered) for k, name in enumerate(names, 1)})).filter(F.col("pos") >= lags)
+    every = [*names, "close"]
+    fit = rows.groupBy("symbol").agg(
+        F.count("*").alias("n"), F.max_by(F.struct(*every), "bar_ms").alias("_last"),
+        *[F.avg(c).alias(f"_mean{c}") for c in every],
+        *[F.covar_pop(a, b).alias(f"_a{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(every) if j >= i])
+    for i in range(lags):  # forward: row i takes itself out of the rows below
+        pivot = F.when(F.abs(f"_a{i}_{i}") > 1e-12 * F.greatest(F.abs(f"_mean{names[i]}"), F.lit(1e-150)), F.col(f"_a{i}_{i}"))
+        fit = fit.withColumns({f"_a{r}_{c}": F.col(f"_a{r}_{c}") - F.col(f"_a{i}_{r}") / pivot * F.col(f"_a{i}_{c}")
+                               for r in range(i + 1, lags) for c in range(r, lags + 1)})
+    for i in reversed(range(lags)):  # back: from the last weight up
+        rest = F.col(f"_a{i}_{lags}")
+        for j in range(i + 1, lags):
+            rest = rest - F.col(f"_a{i}_{j}") * F.col(f"beta_{j + 1}")
+        fit = fit.withColumn(f"beta_{i + 1}", F.try_divide(rest, F.col(f"_a{i}_{i}")))
+    betas = [f"beta_{k}" for k in range(1, lags + 1)]
+    level = F.col("_meanclose")
+    for beta, name in zip(betas, names):
+        level = level - F.col(beta) * F.col(f"_mean{name}")
+    fit = fit.withColumn("intercept", level)
+    ahead = F.col("intercept")
+    for beta, latest in zip(betas, ["close", *names]):
+        ahead = ahead + F.col(beta) * F.col(f"_last.{latest}")
+    return fit.select("symbol", *betas, "intercept", "n", ahead.alias("forecast"))

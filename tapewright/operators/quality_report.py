@@ -30,6 +30,38 @@ def report(rows: DataFrame) -> DataFrame:
         (1 - F.count("*") / F.sum("copies")).alias("duplicate_rate"))
 
 
+def profile(rows: DataFrame, nullable: tuple[str, ...] = ("trade_id", "stream_name"), edges: tuple[float, float] = (0.5, 0.8)) -> DataFrame:
+    """Null rates, score buckets and score quantiles per (symbol, stream type), per symbol and overall.
+
+    ``grouping_id`` (0, 1, 3) tells a subtotal from a missing type or symbol. Rows are first counted by score
+    value, so what a group's quantiles are read from is one row a distinct score.
+    """
+    counts = [F.count("*").alias("c"), *[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in nullable]]
+    valued = rows.groupBy("symbol", "stream_type", F.col("data_quality_score").alias("score")).agg(*counts)
+    nothing = F.lit(None).cast("string")
+    levels = F.array(*[F.struct(symbol.alias("symbol"), kind.alias("stream_type"), F.lit(g).cast("bigint").alias("grouping_id"))
+                       for symbol, kind, g in ((F.col("symbol"), F.col("stream_type"), 0), (F.col("symbol"), nothing, 1),
+                                               (nothing, nothing, 3))])
+    keys = ["grouping_id", "symbol", "stream_type"]
+    sums = ["c", *[f"_{c}" for c in nullable]]
+    grouped = (valued.withColumn("level", F.explode(levels)).select("level.*", "score", *sums)
+               .groupBy(*keys, "score").agg(*[F.sum(c).alias(c) for c in sums]))
+    known = F.when(F.col("score").isNotNull(), F.col("c")).otherwise(0)
+    placed = (grouped.withColumn("upto", F.sum(known).over(W.partitionBy(*keys).orderBy("score")))
+              .withColumn("known", F.sum(known).over(W.partitionBy(*keys))))
+
+    def quantile(p: float):
+        return F.min(F.when((F.col("upto") >= F.greatest(F.ceil(F.col("known") * p), F.lit(1))), F.col("score")))
+
+    def within(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("c"))), F.lit(0))
+    low, high = edges
+    return placed.groupBy(*keys).agg(
+        F.sum("c").alias("n"), *[(F.sum(f"_{c}") / F.sum("c")).alias(f"{c}_null_rate") for c in nullable],
+        within(F.col("score") < low).alias("n_poor"), within((F.col("score") >= low) & (F.col("score") < high)).alias("n_fair"),
+        within(F.col("score") >= high).alias("n_good"), quantile(0.5).alias("p50"), quantile(0.95).alias("p95"))
+
+
 def latency(rows: DataFrame) -> DataFrame:
     """Received minus event time per symbol, with exact quantiles.
 

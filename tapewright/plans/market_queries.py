@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.functions.routing import day_of, fixed6, timestamp_of
-from tapewright.operators import bars, envelope, indicators, quality_report
+from tapewright.operators import bars, envelope, indicators, quality_report, silver
 from tapewright.operators import trades as flow
 from tapewright.plans.bronze_queries import trades
 from tapewright.plans.check_views import fixed6 as sql6
@@ -123,6 +123,30 @@ def silver_upsert_bars(spark, folder):
                                          "trades")
 
 
+# Every tenth trade comes again a millisecond later, every fiftieth once more with another price.
+_CORRECTED = """corrected AS (
+  SELECT symbol, trade_id, quantity,
+    event_time + CASE WHEN trade_id % 50 = 0 THEN 2 WHEN trade_id % 10 = 0 THEN 1 ELSE 0 END AS event_time,
+    price + CASE WHEN trade_id % 50 = 0 THEN 1 ELSE 0 END AS price
+  FROM trades)"""
+
+
+@query("silver_incremental", over("trades", f"""
+SELECT symbol, {SQL_START}, open, high, low, close, volume, trades FROM bars""", _CORRECTED, sql_bars(3600000, "corrected")))
+def silver_incremental(spark, folder):
+    """Three bronze batches, with silver refreshed after each from what it changed."""
+    root, ticks = fresh_path(spark, "silver_incremental"), trades(spark, folder)
+    again = feed.redelivered(ticks)
+    late = F.pmod("trade_id", F.lit(10)) == 3
+    fixed = ticks.filter(F.pmod("trade_id", F.lit(50)) == 0).withColumns(
+        {"event_time": F.col("event_time") + 2, "price": F.col("price") + 1})
+    for batch, rows in enumerate((ticks.filter(~late), ticks.filter(late).unionByName(again), fixed)):
+        named = rows.withColumns({"record_id": F.col("trade_id").cast("string"), "date": day_of(F.col("event_time"))})
+        lake.upsert(spark, named, f"{root}/bronze", batch)
+        silver.refresh(spark, f"{root}/bronze", f"{root}/silver", batch - 1)
+    return lake.read(spark, f"{root}/silver").select("symbol", start(), "open", "high", "low", "close", "volume", "trades")
+
+
 @query("vwap", over("trades", f"""
 SELECT symbol, {SQL_START}, {sql6("notional / volume")} AS vwap, volume FROM bars""", HOURLY))
 def vwap(spark, folder):
@@ -334,6 +358,37 @@ def forecast_ols(spark, folder):
         "symbol", *six("slope", "intercept"), "n", *six("forecast"))
 
 
+_LAGS = ", ".join(f"lag(close, {k}) {BY}) AS x{k}" for k in (1, 2, 3))
+_LAGGED = f"lagged AS (SELECT * FROM (SELECT symbol, bar_ms, close AS y, {_LAGS} FROM bars) WHERE x3 IS NOT NULL)"
+_SUMS = "sums AS (SELECT symbol, count(*) AS n, arg_max(y, bar_ms) AS l1, arg_max(x1, bar_ms) AS l2, arg_max(x2, bar_ms) AS l3, " \
+    + ", ".join(f"avg({c}) AS m_{c}" for c in ("y", "x1", "x2", "x3")) + ", " + ", ".join(
+        f"covar_pop({a}, {b}) AS c_{a}{b}" for i, a in enumerate(("x1", "x2", "x3")) for b in ("x1", "x2", "x3", "y")[i:]) \
+    + " FROM lagged GROUP BY symbol)"
+
+
+def _det(*rows: tuple[str, str, str]) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = rows
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+_M = [["c_x1x1", "c_x1x2", "c_x1x3"], ["c_x1x2", "c_x2x2", "c_x2x3"], ["c_x1x3", "c_x2x3", "c_x3x3"]]
+_V = ["c_x1y", "c_x2y", "c_x3y"]
+_CRAMER = "fitted AS (SELECT *, " + ", ".join(
+    f"{_det(*[tuple(_V[r] if c == k else _M[r][c] for c in range(3)) for r in range(3)])} / {_det(*map(tuple, _M))} AS b{k + 1}"
+    for k in range(3)) + " FROM sums)"
+
+
+@query("forecast_lags", over("trades", f"""
+SELECT symbol, n, {", ".join(f"{sql6(f'b{k}')} AS beta_{k}" for k in (1, 2, 3))},
+  {sql6("m_y - b1 * m_x1 - b2 * m_x2 - b3 * m_x3")} AS intercept,
+  {sql6("m_y - b1 * m_x1 - b2 * m_x2 - b3 * m_x3 + b1 * l1 + b2 * l2 + b3 * l3")} AS forecast
+FROM fitted""", HOURLY, _LAGGED, _SUMS, _CRAMER))
+def forecast_lags(spark, folder):
+    """Least squares on three earlier closes; the check solves the normal equations by determinants."""
+    return indicators.lag_regression(hourly(spark, folder), "1h").select(
+        "symbol", "n", *six("beta_1", "beta_2", "beta_3", "intercept", "forecast"))
+
+
 @query("minute_type_counts", over("ids", """
 SELECT make_timestamp((received_time - received_time % 60000) * 1000) AS minute, stream_type,
        count(*) AS n FROM ids GROUP BY ALL"""))
@@ -375,3 +430,23 @@ def dq_report(spark, folder):
     rows = quality_report.report(envelope.accepted(normalized(spark, folder)))
     return rows.select("symbol", "stream_type", "n", *six(
         "avg_score", "good_share", "unnamed_rate", "duplicate_rate"))
+
+
+@query("dq_profile", over("ids", f"""
+SELECT symbol, stream_type, CAST(grouping_id(symbol, stream_type) AS BIGINT) AS grouping_id, count(*) AS n,
+  {sql6("count_if(trade_id IS NULL)::DOUBLE / count(*)")} AS trade_id_null_rate,
+  {sql6("count_if(stream_name IS NULL)::DOUBLE / count(*)")} AS stream_name_null_rate,
+  count_if(data_quality_score < 0.5::DOUBLE) AS n_poor,
+  count_if(data_quality_score >= 0.5::DOUBLE AND data_quality_score < 0.8::DOUBLE) AS n_fair,
+  count_if(data_quality_score >= 0.8::DOUBLE) AS n_good,
+  {sql6("quantile_disc(data_quality_score, 0.5)")} AS p50, {sql6("quantile_disc(data_quality_score, 0.95)")} AS p95
+FROM (SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN NULL ELSE stream_type END AS stream_type) FROM ids
+      WHERE reject_reason IS NULL)
+GROUP BY ROLLUP (symbol, stream_type)"""))
+def dq_profile(spark, folder):
+    """A seventh of the rows lose their type: a missing type is told apart from the subtotal."""
+    rows = envelope.accepted(envelope.normalize(feed.raw_messages(table(spark, folder, "events")), keep=("event_id",)))
+    rows = rows.withColumn("stream_type", F.when(F.pmod("event_id", F.lit(7)) != 0, F.col("stream_type")))
+    return quality_report.profile(rows).select(
+        "symbol", "stream_type", "grouping_id", "n", *six("trade_id_null_rate", "stream_name_null_rate"),
+        "n_poor", "n_fair", "n_good", *six("p50", "p95"))

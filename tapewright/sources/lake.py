@@ -72,6 +72,7 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, batch_id: int = 0, k
     ``scope="partition"`` looks only at the same partition. An empty batch changes nothing. Only partitions that change are
     rewritten. The merge is staged as a table first: the input of an overwrite must not be the
     path it overwrites, and a lost executor then recomputes nothing. Repeating a call is harmless.
+    The changed partitions, emptied ones too, are noted by batch beside the table before they change.
     """
     match = list(key) if scope == "key" else list(dict.fromkeys((*partition, *key)))
     day = partition[-1]
@@ -83,6 +84,7 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, batch_id: int = 0, k
         drop(spark, stage)
         return
     if not exists(spark, path):
+        _note(incoming.select(*partition).distinct(), path, batch_id)
         _write(incoming, path, "overwrite", partition)
         drop(spark, stage)
         return
@@ -106,15 +108,31 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, batch_id: int = 0, k
     ranked = spark.read.parquet(f"{stage}/ranked")
     changed = (ranked.filter("(_rank = 1 AND NOT _stored) OR (_rank > 1 AND _stored)")
                .select(*partition).distinct())
+    _note(changed, path, batch_id)
     winners = ranked.filter("_rank = 1").drop("_rank", "_stored")
     _write(winners.join(changed, list(partition), "left_semi"), path, "overwrite", partition)
     # A dynamic overwrite never empties a partition: drop those whose last row moved away.
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for emptied in changed.join(winners, list(partition), "left_anti").toLocalIterator():
-        drop(spark, "/".join([path, *(f"{c}={escape(str(emptied[c]))}" for c in partition)]))
+    drop_partitions(spark, path, changed.join(winners, list(partition), "left_anti"), partition)
     drop(spark, stage)
 
 
+def _note(changed: DataFrame, path: str, batch_id: int) -> None:
+    """Appended, so a repeated batch, which changes nothing more, takes nothing back."""
+    changed.write.mode("append").parquet(f"{path}_changes/batch={batch_id}")
+
+
+def drop_partitions(spark: SparkSession, path: str, gone: DataFrame, partition=PARTITION) -> None:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in gone.select(*partition).toLocalIterator():
+        drop(spark, "/".join([path, *(f"{c}={escape(str(row[c]))}" for c in partition)]))
+
+
+def changed_since(spark: SparkSession, path: str, last_batch: int, partition=PARTITION) -> DataFrame:
+    """Partitions that upserts of later batches than ``last_batch`` changed."""
+    return (spark.read.parquet(f"{path}_changes").filter(F.col("batch") > last_batch)
+            .select(*partition).distinct())
+
+
 def since(spark: SparkSession, path: str, last_batch: int) -> DataFrame:
     """Rows that arrived after batch ``last_batch``."""
     return read(spark, path).filter(F.col("_batch_id") > last_batch)

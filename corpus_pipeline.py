@@ -10,7 +10,7 @@ from tapewright.llm.queries import tokenizer
 from tapewright.llm.tables import stage
 from tapewright.session import prepare
 
-# No SQL says the whole pipeline (merges of byte pairs); tests/llm holds it against brute force.
+# No SQL says the whole pipeline (merges of byte pairs); tests/llm/test_pipeline.py checks it stage by stage.
 ORACLE_SQL = None
 
 

@@ -65,17 +65,20 @@ def is_kind(value: Column, kind: str) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(kind)), F.lit(False))
 
 
+def _plain(text: Column) -> Column:
+    """Decimal text as DOUBLE; NULL for NaN, infinity, type suffixes and anything else."""
+    return F.replace(F.regexp_extract(text, NUMBER_TEXT, 1), F.lit("_"), F.lit("")).try_cast("double")
+
+
 def number(text: Column, value: Column) -> Column:
     """DOUBLE: 0.0 when absent, NULL when present but not convertible."""
-    digits = F.replace(F.regexp_extract(text, NUMBER_TEXT, 1), F.lit("_"), F.lit(""))
     boolean = F.when(is_kind(value, "BOOLEAN"), F.when(text == "true", 1.0).otherwise(0.0))
     return (F.when(text.isNull(), F.when(value.isNull(), 0.0))
             .when(text.isin("true", "false"), boolean)
-            .otherwise(digits.try_cast("double")))
+            .otherwise(_plain(text)))
 
 
 def levels(pairs: str) -> Column:
-    """``[[price, qty], ...]`` as ARRAY<STRUCT<price, qty>>."""
+    """``[[price, qty], ...]`` as ARRAY<STRUCT<price, qty>>, by the number rule of all other fields."""
     return F.transform(pairs, lambda pair: F.struct(
-        F.get(pair, 0).try_cast("double").alias("price"),
-        F.get(pair, 1).try_cast("double").alias("qty")))
+        _plain(F.get(pair, 0)).alias("price"), _plain(F.get(pair, 1)).alias("qty")))

@@ -46,6 +46,18 @@ def bronze_scan_count(spark, folder):
     return spark.read.parquet(path).groupBy("topic").agg(F.count("*").alias("n"))
 
 
+@query("bronze_topic_scan", over("ids", """
+SELECT "partition", count(*) AS n, min("offset") AS first_offset, max("offset") AS last_offset
+FROM log WHERE topic = 'crypto_raw_btcusdt_trade' GROUP BY "partition"
+""", LOG))
+def bronze_topic_scan(spark, folder):
+    """A bounded scan of one topic: the topic is a partition filter, other folders are not read."""
+    path = fresh_path(spark, "log")
+    message_log.publish(log(spark, folder), path=path)
+    return message_log.bounded_scan(spark, f"{fv.TOPIC_PREFIX}btcusdt_{fv.TRADE}", path=path).groupBy("partition").agg(
+        F.count("*").alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+
+
 @query("bronze_run_summary", over("ids", """
 SELECT 'success' AS status, 'bronze_events' AS table_name,
        count(DISTINCT symbol) FILTER (reject_reason IS NULL) AS symbols,

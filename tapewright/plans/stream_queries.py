@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tapewright import feed_values as fv
 from tapewright.functions.routing import fixed6, timestamp_of
 from tapewright.operators import envelope
-from tapewright.plans.bronze_queries import trades
+from tapewright.plans.bronze_queries import LOG, log, trades
 from tapewright.plans.check_views import fixed6 as sql6
 from tapewright.plans.check_views import over
 from tapewright.plans.market_queries import (
@@ -24,7 +24,7 @@ from tapewright.plans.market_queries import (
 )
 from tapewright.plans.registry import CHECKS, query
 from tapewright.session import fresh_path
-from tapewright.sources import feed, lake
+from tapewright.sources import feed, lake, message_log
 from tapewright.sources.tables import events_stream
 from tapewright.sources.tables import table
 from tapewright.streaming import alerts, indicator_state, ingest, sinks, window_table, windows
@@ -86,6 +86,21 @@ def stream_minute_counts(spark, folder):
         timestamp_of(F.col("minute_ms")).alias("minute"), "stream_type", "n")
 
 
+@query("stream_live_topics", over("ids", """
+SELECT topic, count(*) AS n, count(DISTINCT "offset") AS offsets FROM log WHERE topic LIKE '%\\_trade' ESCAPE '\\' GROUP BY topic
+""", LOG))
+def stream_live_topics(spark, folder):
+    """The stream over all trade topics runs twice: the second run takes up where the first ended."""
+    root, messages = fresh_path(spark, "stream_live"), log(spark, folder)
+    early = F.pmod("offset", F.lit(3)) == 0
+    for part in (messages.filter(early), messages.filter(~early)):
+        message_log.publish(part, path=f"{root}/log")
+        live = message_log.live_source(spark, pattern=f"_{fv.TRADE}$", path=f"{root}/log").select("topic", "offset")
+        sinks.drain_to_table(live, f"{root}/table", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/table").groupBy("topic").agg(
+        F.count("*").alias("n"), F.count_distinct("offset").alias("offsets"))
+
+
 @query("stream_dedupe", over("redelivered", """
 SELECT symbol, trade_id, min(price) AS price FROM redelivered GROUP BY symbol, trade_id"""))
 def stream_dedupe(spark, folder):

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tapewright.llm.tables import stage
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-EMAIL = "[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+"
+# Possessive, and tried only where a run of its characters begins or the last match ended: linear, and
+# no recursion on long runs or many labels. Marks before the first letter or digit stay as they are.
+EMAIL = ("(?:\\G|(?<![A-Za-z0-9._%+-]))[._%+-]*+[A-Za-z0-9][A-Za-z0-9._%+-]*+"
+         "@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++")
 PHONE = ("(?<![0-9])(?:\\+[0-9]{1,3}[ .-]?)?\\([0-9]{3}\\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
          "|(?<![0-9])(?:\\+[0-9]{1,3}[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])|\\+[0-9]{10,14}(?![0-9])")
 ADDRESS = f"(?<![0-9.]){_OCTET}(?:\\.{_OCTET}){{3}}(?!\\.?[0-9])"
@@ -41,6 +44,10 @@ def kind_of(mention: Column) -> Column:
         .when(whole(ADDRESS), "address").when(whole(SOCIAL), "social").when(whole(PHONE), "phone").otherwise("card"))
 
 
+def _marks(mention: Column) -> Column:
+    return F.regexp_extract(mention, "^[._%+-]*", 0)
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -51,7 +58,7 @@ def _name(mention: Column) -> Column:
 
 def normal(mention: Column, kind: Column) -> Column:
     """What mentions of one entity share: lower-case address, digits only, name without title."""
-    return (F.when(kind == "email", F.lower(mention)).when(kind == "address", mention)
+    return (F.when(kind == "email", F.lower(F.ltrim(mention, F.lit("._%+-")))).when(kind == "address", mention)
             .when(kind.startswith("person"), F.lower(_name(mention))).otherwise(_digits(mention)))
 
 
@@ -107,6 +114,7 @@ def _given(name: Column, kind: Column, digest: Column, attempt: Column) -> Colum
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     """The replacement of an entity: keyed, of its kind, as long as it where that is a format.
 
+    Mail addresses of few letters have few forms, so each further draw has one more letter in the user.
     Of a person's norm with a space it is the given name, of a surname (kinds family_m, family_f) the family name.
     """
     digest = F.sha2(F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string")), 256)
@@ -114,9 +122,10 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     top = F.concat(F.lit("."), F.substring_index(norm, ".", -1))
     domain = F.substring(norm, F.length(user) + 2, F.length(norm) - F.length(user) - 1 - F.length(top))
     second = F.sha2(digest, 256)
+    more = F.when(attempt > 0, _spelled(F.repeat(F.lit("x"), attempt), F.sha2(second, 256))).otherwise("")
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (
         F.pmod(_nibble(digest, i), F.lit(254)) + 1).cast("string")), ".")
-    return (F.when(kind == "email", F.concat(_spelled(user, digest), F.lit("@"), _spelled(domain, second), top))
+    return (F.when(kind == "email", F.concat(_spelled(user, digest), more, F.lit("@"), _spelled(domain, second), top))
             .when(kind == "address", octets).when(kind == "card", _luhn(_spelled(norm, digest)))
             .when(kind.startswith("family"), _family(norm, digest, attempt))
             .when(kind.startswith("person"), _given(F.substring_index(norm, " ", 1), kind, digest, attempt))
@@ -129,7 +138,8 @@ def _rendered(mention: Column, kind: Column, new: Column) -> Column:
         c.rlike("[0-9]"), F.substring(new, F.length(_digits(F.substring(mention, F.lit(1), i + 1))), F.lit(1)))
         .otherwise(c)), "")
     title = F.regexp_extract(mention, "^\\S+ ", 0)
-    return (F.when(kind == "email", F.when(mention == F.upper(mention), F.upper(new)).otherwise(new))
+    return (F.when(kind == "email", F.concat(_marks(mention), F.when(
+        mention == F.upper(mention), F.upper(new)).otherwise(new)))
             .when(kind == "address", new).when(kind.startswith("person"), F.concat(title, new)).otherwise(filled))
 
 
@@ -182,7 +192,8 @@ def replace(docs: DataFrame, key: str = "surrogates") -> DataFrame:
 
     One entity has one surrogate wherever and however it is written; different entities have
     different ones. A name behind a title is one or two words, and the last is the surname: 'Mr Smith'
-    gets the family name that every 'Mr ... Smith' gets. Null texts stay null and empty ones empty, with no entities. Rows equal in id
+    gets the family name that every 'Mr ... Smith' gets. Texts and addresses of any length are searched in
+    time that grows with their length. Null texts stay null and empty ones empty, with no entities. Rows equal in id
     and text get the same result. An empty table gives none. An own column named ``entities`` is
     replaced; other extra columns stay as they are.
     """

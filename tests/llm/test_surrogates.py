@@ -69,3 +69,26 @@ def test_one_word_names_stay_distinct_and_agree_with_full_ones(frame):
         assert b == d == short[k] and a != c
     others = [t.split(" ")[1:3] for t in out[-60:]]
     assert {last for _, last in others} == {short[0]} and len({first for first, _ in others} | {full[0][0], full[0][2]}) == 62
+
+
+def test_long_runs_and_many_labels_are_linear(frame):
+    labels = "a@" + "b." * 20_000 + "com"
+    texts = [f"see {labels} here", "x" * 1_000_000, "a." * 500_000, "-._" * 300_000, "x" * 500_000 + "@", labels]
+    out = rows(frame, texts)
+    assert [out[i]["text"] for i in range(1, 5)] == texts[1:5]
+    assert out[0]["entities"] == out[5]["entities"] == ["email"] and out[0]["text"] == f"see {out[5]['text']} here"
+    assert re.fullmatch(r"[a-z]@(?:[a-z]\.){20000}com", out[5]["text"]) and out[5]["text"] != labels
+
+
+def test_marks_before_an_address_stay(frame):
+    out = rows(frame, ["to ..bob@site.org, bob@site.org%ann@site.org", "bob@site.org"])
+    new = out[1]["text"]
+    assert re.fullmatch(rf"to \.\.{re.escape(new)}, {re.escape(new)}%[a-z]{{3}}@[a-z]{{4}}\.org", out[0]["text"])
+    assert out[0]["entities"] == ["email"] * 3
+
+
+def test_short_addresses_get_distinct_surrogates(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    norms = [f"{a}@{b}.co" for a in letters for b in letters]  # every form of their length is a real address
+    out = surrogates.mapping(spark.createDataFrame([("email", n) for n in norms], "kind string, norm string"), "k").collect()
+    assert len(out) == len({r["new"] for r in out}) == len(norms) and not {r["new"] for r in out} & set(norms)

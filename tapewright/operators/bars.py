@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapewright.functions.routing import bar_of, tick_order
+from tapewright.operators.series import BUCKET_BARS, bucket_states
 
 WIDTHS_MS = {"1m": 60_000, "5m": 300_000, "15m": 900_000, "1h": 3_600_000, "4h": 14_400_000,
              "1d": 86_400_000}
@@ -86,18 +87,38 @@ def bars_from_klines(klines: DataFrame) -> DataFrame:
 def fill_gaps(bars: DataFrame, width: str) -> DataFrame:
     """Every bar between a symbol's first and last; a missing one repeats the previous close.
 
-    Each bar itself emits the empty bars up to its successor, so no calendar is joined.
+    Each bar itself emits the empty bars up to its successor, so no calendar is joined. Successors
+    are found within buckets of ``BUCKET_BARS`` slots; a bucket's last bar takes the first one of
+    the next bucket that has any. What it emits beyond its own bucket is dealt out by bucket before
+    it is emitted, so neither a long series nor a long gap is one task's work. Bars
+    start at multiples of the width, one a symbol and slot; bars without a symbol are a series of
+    their own, bars without a start are left out.
     """
     width_ms = WIDTHS_MS[width]
-    by_time = W.partitionBy("symbol").orderBy("bar_ms")
-    following = F.coalesce(F.lead("bar_ms").over(by_time), F.col("bar_ms") + width_ms)
-    slots = F.sequence(F.col("bar_ms"), F.col("_next") - width_ms, F.lit(width_ms))
-    filled = (bars.withColumn("_next", following)
-              .select("*", F.explode(slots).alias("_slot"))
+    bucket_ms = width_ms * BUCKET_BARS
+    rows = bars.withColumn("_bucket", bar_of(F.col("bar_ms"), bucket_ms))
+    firsts = bucket_states(rows, "symbol", "_bucket", _first=F.min("bar_ms"))
+    after = firsts.select(F.col("symbol").alias("_symbol"), F.col("_bucket").alias("_at"), F.lead("_first").over(
+        W.partitionBy("symbol").orderBy("_bucket")).alias("_after"))
+    inside = W.partitionBy("symbol", "_bucket").orderBy("bar_ms")
+    ends = (rows.withColumn("_next", F.lead("bar_ms").over(inside))
+            .join(after, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_bucket") == F.col("_at")))
+            .withColumn("_next", F.coalesce("_next", "_after", F.col("bar_ms") + width_ms))
+            .drop("_symbol", "_at", "_after"))
+    stop = F.col("_bucket") + bucket_ms
+    here = ends.withColumn("_from", F.col("bar_ms"))
+    # One row a bucket that a gap reaches into; the slots are made after the rows are dealt out. With
+    # a stated number of parts, which adaptive execution does not merge: few bytes become many rows.
+    parts = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    beyond = (ends.filter(F.col("_next") > stop)
+              .withColumn("_bucket", F.explode(F.sequence(stop, F.col("_next") - width_ms, F.lit(bucket_ms))))
+              .withColumn("_from", F.col("_bucket")).repartition(parts, "symbol", "_bucket"))
+    slots = F.sequence(F.col("_from"), F.least("_next", stop) - width_ms, F.lit(width_ms))
+    filled = (here.unionByName(beyond).select("*", F.explode(slots).alias("_slot"))
               .withColumn("is_filled", F.col("_slot") > F.col("bar_ms")))
     blank = {name: F.when(F.col("is_filled"), F.lit(0).cast(dtype)).otherwise(F.col(name))
              for name, dtype in bars.dtypes if name in ("volume", "notional", "trades")}
     flat = {name: F.when(F.col("is_filled"), F.col("close")).otherwise(F.col(name))
             for name in ("open", "high", "low")}
     return (filled.withColumns({**flat, **blank}).withColumn("bar_ms", F.col("_slot"))
-            .drop("_next", "_slot"))
+            .drop("_bucket", "_next", "_from", "_slot"))

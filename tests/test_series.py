@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tapewright.operators import bars, correlation, indicators, trades
 from tapewright.operators.series import with_position
@@ -198,3 +199,30 @@ def test_correlation_with_missing_bars(spark):
         expected = np.corrcoef([data[a][d] for d in both], [data[b][d] for d in both])[0, 1]
         assert row.bars == len(both) and row.correlation == pytest.approx(expected, abs=1e-9)
         assert not math.isnan(row.correlation)
+
+
+def test_gaps_over_bucket_borders(spark):
+    minute, day = 60_000, 86_400_000
+    # A year without a bar, a gap that ends on a border, one that starts on it, neighbours over a border.
+    starts = {"A": [0, minute, 365 * day + 7 * minute], "B": [day - 3 * minute, day, day + minute, 2 * day - minute, 2 * day],
+              "C": [5 * day], None: [3 * minute, 2 * day + minute]}
+    frame = spark.createDataFrame(
+        [(s, t, float(i + 1), 2.0, 3) for s, times in starts.items() for i, t in enumerate(times)],
+        "symbol string, bar_ms long, close double, volume double, trades long").withColumns(
+            {name: F.col("close") for name in ("open", "high", "low")})
+    filled = bars.fill_gaps(frame, "1m")
+    assert set(filled.columns) == {*frame.columns, "is_filled"}
+    rows = filled.groupBy("symbol").agg(
+        F.count("*").alias("n"), F.countDistinct("bar_ms").alias("slots"), F.min("bar_ms").alias("low"),
+        F.max("bar_ms").alias("high"), F.count_if("is_filled").alias("made"),
+        F.sum("volume").alias("volume"), F.sum("trades").alias("trades")).collect()
+    for r in rows:
+        times = starts[r["symbol"]]
+        n = (times[-1] - times[0]) // minute + 1
+        assert (r["n"], r["slots"], r["low"], r["high"]) == (n, n, times[0], times[-1])
+        assert (r["made"], r["volume"], r["trades"]) == (n - len(times), 2.0 * len(times), 3 * len(times))
+    kept = filled.filter("symbol = 'A' and bar_ms > 60000 and is_filled").agg(
+        F.min("close"), F.max("open")).first()
+    assert tuple(kept) == (2.0, 2.0)
+    parts = filled.filter("symbol = 'A'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 4

@@ -68,7 +68,7 @@ def _cells(leads: int, step: float, half: float):
     return batches
 
 
-def _compare(least: float):
+def _compare(least: float, leads: int, half: float):
     sigma = math.sqrt(2 * (1 - least))
     needed = needed_collisions()
 
@@ -78,7 +78,8 @@ def _compare(least: float):
             a, b = _unit(queries.column("asked")), _unit(homes.column("held"))
             ids, own = homes.column("hid").to_numpy(), queries.column("qid").to_numpy()
             weight = homes.column("weight").to_numpy()
-            lines = _directions(a.shape[1], PROJECTIONS + MAX_LEADS)[:, :PROJECTIONS]
+            every = _directions(a.shape[1], PROJECTIONS + MAX_LEADS)[:, :PROJECTIONS + leads]
+            lines = every[:, :PROJECTIONS]
             pa_, pb = a @ lines, b @ lines
             count = np.zeros((len(a), len(b)), np.int8)
             for k in range(PROJECTIONS):  # collisions: the stretch of the sorted projection around each query
@@ -89,6 +90,10 @@ def _compare(least: float):
                 place[order] = np.arange(len(b))
                 count += (place >= low[:, None]) & (place < high[:, None])
             q, h = np.nonzero(count >= needed)
+            # A probed cell reaches further than the window. Only pairs within it count, so that both ends find each other.
+            lead = every[:, PROJECTIONS:]
+            near = (np.abs((a @ lead)[q] - (b @ lead)[h]) <= half).all(axis=1)
+            q, h = q[near], h[near]
             close = np.einsum("ij,ij->i", a[q], b[h]) >= least
             q, h = q[close], h[close]
             other = ids[h] != own[q]
@@ -117,7 +122,7 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     ``least`` or more. Vectors that are null, empty, zero, or hold null or non-finite components,
     and those without a label, link with nothing. Equal vectors are one class, compared once.
     A class is compared with the others of its cell; a pair is checked when it collides on as many
-    projections as pairs at the cosine do with probability RECALL, so about that share of the
+    projections as pairs at the cosine do with probability RECALL, from either end, so about that share of the
     links is found and no false one. A component has its least id; null ids stand aside.
     Repeated rows are copies like any other. An empty table gives none. Extra columns are not read.
     """
@@ -152,7 +157,7 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     homes = (held.join(cuts, cell).withColumn("part", F.pmod(hashed, "parts")).withColumn("salt", to("salts"))
              .select(*[F.col(c).alias(f"h_{c}") for c in keys], F.col("node").alias("hid"), "weight", F.col("embedding").alias("held")))
     found = stage(queries.groupBy(*[f"q_{c}" for c in keys]).cogroup(homes.groupBy(*[f"h_{c}" for c in keys])).applyInArrow(
-        _compare(least), "node long, links long, other array<long>"), "vector-links")
+        _compare(least, leads, half), "node long, links long, other array<long>"), "vector-links")
     roots = components(found.select("node", F.explode("other").alias("other")), "node", "other")
     totals = found.groupBy("node").agg(F.sum("links").alias("links"))
     info = classes.select("node", "weight").join(totals, "node", "left").join(roots, "node", "left").select(

@@ -86,6 +86,21 @@ def test_vectors(spark, monkeypatch, cell):
     assert near_vectors.link(frame.filter("vec_id < 0")).count() == 0
 
 
+def test_both_ends_of_a_link_count_it(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "CELL", 20)
+    monkeypatch.setattr(near_vectors, "LEAD_WINDOW", 0.8)  # so narrow that many pairs lie in probed cells, but beyond the window
+    rng = np.random.default_rng(4)
+    rows = []
+    for _ in range(150):
+        base = rng.standard_normal(32)
+        rows += [base, base + 0.15 * rng.standard_normal(32)]
+    frame = spark.createDataFrame([(k, [float(x) for x in v], 0) for k, v in enumerate(rows)],
+                                  "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors.link(frame).collect()}
+    pairs = [(got[k], got[k + 1]) for k in range(0, 300, 2)]
+    assert all(a == b for a, b in pairs) and {a for a, _ in pairs} == {0, 1}
+
+
 PAGES = "page_id long, url string, html string"
 
 

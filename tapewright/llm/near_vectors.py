@@ -18,11 +18,11 @@ RECALL = 0.9995
 # Half window around a query on a counted projection, and on a projection that partitions, in
 # standard deviations of the difference of two vectors that just reach the cosine.
 WINDOW, LEAD_WINDOW = 1.25, 3.5
-# Vectors a cell should hold; more vectors add leading projections. It decides cost, not links.
+# Vectors a cell should hold; a label with more adds leading projections for itself. It decides cost.
 CELL = 8192
 MAX_LEADS = 8
 # Vectors of a cell, and queries, that are compared in one call.
-PART = 512
+PART = 2048
 
 
 def needed_collisions(count: int = PROJECTIONS, recall: float = RECALL) -> int:
@@ -41,21 +41,23 @@ def _directions(dims: int, count: int) -> np.ndarray:
 
 
 def _unit(vectors) -> np.ndarray:
-    x = np.array(vectors.to_pylist(), np.float64)
+    """Rows of one length as unit vectors."""
+    chunks = vectors.chunks if isinstance(vectors, pa.ChunkedArray) else [vectors]
+    x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in chunks]).reshape(len(vectors), -1)
     # Scale by the largest component first, so tiny and huge vectors keep their length.
-    x /= np.abs(x).max(axis=1, keepdims=True)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _cells(leads: int, step: float, half: float):
-    """Each vector's home cell, and the cells its window touches on the leading projections."""
+def _cells(step: float, half: float):
+    """Each vector's home cell, and the cells its window touches on its label's leading projections."""
     def batches(rows):
         for batch in rows:
-            dims = np.array(batch.column(2).to_pylist(), np.int64)
+            dims, leads = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
             home, probes = [None] * len(dims), [None] * len(dims)
-            for d in np.unique(dims):
-                at = np.flatnonzero(dims == d)
-                p = _unit(batch.column(1).take(pa.array(at))) @ _directions(d, PROJECTIONS + MAX_LEADS)[:, PROJECTIONS:PROJECTIONS + leads]
+            for d, n in np.unique(np.stack([dims, leads]), axis=1).T:
+                at = np.flatnonzero((dims == d) & (leads == n))
+                p = _unit(batch.column(1).take(pa.array(at))) @ _directions(d, PROJECTIONS + MAX_LEADS)[:, PROJECTIONS:PROJECTIONS + n]
                 mid, low, high = (np.floor(x / step).astype(int) for x in (p, p - half, p + half))
                 for k, i in enumerate(at):
                     cells = [""]
@@ -68,7 +70,7 @@ def _cells(leads: int, step: float, half: float):
     return batches
 
 
-def _compare(least: float, leads: int, half: float):
+def _compare(least: float, half: float):
     sigma = math.sqrt(2 * (1 - least))
     needed = needed_collisions()
 
@@ -78,6 +80,7 @@ def _compare(least: float, leads: int, half: float):
             a, b = _unit(queries.column("asked")), _unit(homes.column("held"))
             ids, own = homes.column("hid").to_numpy(), queries.column("qid").to_numpy()
             weight = homes.column("weight").to_numpy()
+            leads = homes.column("leads")[0].as_py()
             every = _directions(a.shape[1], PROJECTIONS + MAX_LEADS)[:, :PROJECTIONS + leads]
             lines = every[:, :PROJECTIONS]
             pa_, pb = a @ lines, b @ lines
@@ -137,10 +140,12 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     classes = stage(keyed.filter("usable").groupBy("node").agg(
         F.count("*").alias("weight"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
         .withColumn("dims", F.size("embedding").cast("long")), "vector-classes")
-    leads = min(MAX_LEADS, max(0, math.ceil(math.log2(max(1, classes.count()) / CELL))))
     half = LEAD_WINDOW * math.sqrt(2 * (1 - least))
-    placed = stage(classes.join(classes.select("node", "embedding", "dims").mapInArrow(
-        _cells(leads, 2 * half, half), "node long, home string, probes array<string>"), "node"), "vector-cells")
+    sizes = classes.groupBy("label", "dims").agg(F.greatest(F.lit(0), F.least(
+        F.lit(MAX_LEADS), F.ceil(F.log2(F.count("*") / CELL)))).cast("long").alias("leads"))
+    led = classes.join(sizes, ["label", "dims"])
+    placed = stage(led.join(led.select("node", "embedding", "dims", "leads").mapInArrow(
+        _cells(2 * half, half), "node long, home string, probes array<string>"), "node"), "vector-cells")
 
     asked = placed.select("node", "label", "dims", "embedding", F.explode("probes").alias("cell"))
     held = placed.withColumnRenamed("home", "cell")
@@ -155,9 +160,9 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     queries = (asked.join(cuts, cell).withColumn("salt", F.pmod(hashed, "salts")).withColumn("part", to("parts"))
                .select(*[F.col(c).alias(f"q_{c}") for c in keys], F.col("node").alias("qid"), F.col("embedding").alias("asked")))
     homes = (held.join(cuts, cell).withColumn("part", F.pmod(hashed, "parts")).withColumn("salt", to("salts"))
-             .select(*[F.col(c).alias(f"h_{c}") for c in keys], F.col("node").alias("hid"), "weight", F.col("embedding").alias("held")))
+             .select(*[F.col(c).alias(f"h_{c}") for c in keys], F.col("node").alias("hid"), "weight", "leads", F.col("embedding").alias("held")))
     found = stage(queries.groupBy(*[f"q_{c}" for c in keys]).cogroup(homes.groupBy(*[f"h_{c}" for c in keys])).applyInArrow(
-        _compare(least, leads, half), "node long, links long, other array<long>"), "vector-links")
+        _compare(least, half), "node long, links long, other array<long>"), "vector-links")
     roots = components(found.select("node", F.explode("other").alias("other")), "node", "other")
     totals = found.groupBy("node").agg(F.sum("links").alias("links"))
     info = classes.select("node", "weight").join(totals, "node", "left").join(roots, "node", "left").select(

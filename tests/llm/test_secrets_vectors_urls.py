@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+from given_tables import SMALL
 from tapewright.llm import near_vectors, secret_scan, url_trust
 
 
@@ -101,6 +102,14 @@ def test_both_ends_of_a_link_count_it(spark, monkeypatch):
     assert all(a == b for a, b in pairs) and {a for a, _ in pairs} == {0, 1}
 
 
+def test_recall_on_the_given_vectors(spark):
+    frame = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding", "label")
+    want = brute_vectors([tuple(r) for r in frame.collect()])
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors.link(frame).collect()}
+    assert sum(g[0] for g in got.values()) >= 0.99 * sum(w[0] for w in want.values())
+    assert all(got[i][0] <= want[i][0] for i in want)
+
+
 PAGES = "page_id long, url string, html string"
 
 

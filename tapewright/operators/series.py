@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tapewright.session import fresh_path
+
 # Bars of one bucket: at most this many, since a slot holds one bar.
 BUCKET_BARS = 1440
 # Exponent span of one run's scaled sums: e**600 is far from overflow, and a run's own last values
@@ -32,6 +34,18 @@ def before_bucket(key: str, bucket: str):
     return W.partitionBy(key).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
 
 
+def time_parts(rows: DataFrame, order: list[str | Column], label: str) -> DataFrame:
+    """Adds ``_part``: consecutive stretches of ``rows`` in ``order``, of nearly equal numbers of rows.
+
+    The borders come from Spark's sample of the whole order, so a busy symbol has many short stretches
+    and quiet ones share a stretch. The rows are read once and written, so parts stay what they are.
+    """
+    path = fresh_path(rows.sparkSession, label)
+    cut = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    cut.write.parquet(path)
+    return rows.sparkSession.read.schema(cut.schema).parquet(path)
+
+
 def with_position(bars: DataFrame, width_ms: int, key: str = "symbol",
                   time: str = "bar_ms") -> DataFrame:
     """Add ``pos``: 0, 1, 2 ... per key in time order."""

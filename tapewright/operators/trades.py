@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 
 from tapewright.functions.routing import bar_of, tick_order
 from tapewright.operators.bars import WIDTHS_MS
-from tapewright.operators.series import before_bucket, bucket_states
-
-CARRY_MS = 300_000
+from tapewright.operators.series import before_bucket, bucket_states, time_parts
 
 
 def _windowed(trades: DataFrame, width: str):
@@ -51,45 +49,44 @@ def illiquidity(bar_returns: DataFrame) -> DataFrame:
         F.abs("simple_return"), F.col("notional"))).alias("amihud"))
 
 
-def intertrade_time(trades: DataFrame, carry_ms: int = CARRY_MS) -> DataFrame:
+def intertrade_time(trades: DataFrame) -> DataFrame:
     """Milliseconds since the symbol's previous trade.
 
-    The lag runs inside short time buckets; a bucket's first trade takes the last time of the
-    nearest earlier bucket that has any.
+    Trades are cut by symbol and time into parts of equal size; the lag runs inside a part, and a
+    part's first trade of a symbol takes the last time of the nearest earlier part that has one.
     """
-    rows = trades.withColumn("_bucket", bar_of(F.col("event_time"), carry_ms))
-    ends = bucket_states(rows, "symbol", "_bucket", _end=F.max("event_time")).select(
-        "symbol", "_bucket",
-        F.last("_end").over(before_bucket("symbol", "_bucket")).alias("_carried"))
-    inside = W.partitionBy("symbol", "_bucket").orderBy("event_time", "trade_id")
+    rows = time_parts(trades, ["symbol", "event_time", "trade_id"], "intertrade")
+    ends = bucket_states(rows, "symbol", "_part", _end=F.max("event_time")).select(
+        "symbol", "_part", F.last("_end", ignorenulls=True).over(before_bucket("symbol", "_part")).alias("_carried"))
+    inside = W.partitionBy("symbol", "_part").orderBy("event_time", "trade_id")
     return (rows.withColumn("_prior", F.lag("event_time").over(inside))
-            .join(ends, ["symbol", "_bucket"])
+            .join(ends, ["symbol", "_part"], "left")
             .withColumn("gap_ms", F.col("event_time") - F.coalesce("_prior", "_carried"))
-            .drop("_bucket", "_prior", "_carried"))
+            .drop("_part", "_prior", "_carried"))
 
 
-def asof_price(probes: DataFrame, trades: DataFrame, at: str = "probe_time",
-               carry_ms: int = CARRY_MS) -> DataFrame:
+def asof_price(probes: DataFrame, trades: DataFrame, at: str = "probe_time") -> DataFrame:
     """Each probe with its symbol's last trade price at or before ``at``; NULL if there is none.
 
-    Probes and trades meet in time buckets; a probe with no earlier trade in its bucket takes the
-    closing price carried from before. No range join.
+    Probes and trades are cut together into parts of equal size; a probe with no earlier trade in its
+    part takes the closing price carried from before. No range join, and each side is read once.
+    A probe without a symbol or a time has no price; trades without one are not used.
     """
     order = tick_order(F.col("event_time"), F.col("trade_id"))
-    quotes = trades.select("symbol", "event_time", "trade_id", "price", order.alias("_order"))
+    quotes = (trades.select("symbol", "event_time", "trade_id", "price", order.alias("_order"))
+              .filter("symbol is not null and event_time is not null"))
     extra = [c for c in probes.columns if c != "symbol"]
     both = (probes.select("symbol", F.col(at).alias("event_time"), F.struct(*extra).alias("_probe"))
             .unionByName(quotes, allowMissingColumns=True)
-            .withColumn("_bucket", bar_of(F.col("event_time"), carry_ms)))
-    closing = bucket_states(both, "symbol", "_bucket", _close=F.max_by("price", "_order")).select(
-        "symbol", "_bucket",
-        F.last("_close", ignorenulls=True).over(before_bucket("symbol", "_bucket"))
-        .alias("_carried"))
+            .withColumn("_asks", F.col("_probe").isNotNull()))
     # At equal time trades come first, so a probe sees them.
-    inside = (W.partitionBy("symbol", "_bucket")
-              .orderBy("event_time", F.col("_probe").isNotNull(), "_order")
+    both = time_parts(both, ["symbol", "event_time", "_asks", "_order"], "asof")
+    closing = bucket_states(both, "symbol", "_part", _close=F.max_by("price", "_order")).select(
+        "symbol", "_part",
+        F.last("_close", ignorenulls=True).over(before_bucket("symbol", "_part")).alias("_carried"))
+    inside = (W.partitionBy("symbol", "_part").orderBy("event_time", "_asks", "_order")
               .rowsBetween(W.unboundedPreceding, 0))
     return (both.withColumn("_seen", F.last("price", ignorenulls=True).over(inside))
-            .filter(F.col("_probe").isNotNull())
-            .join(closing, ["symbol", "_bucket"])
+            .filter("_asks")
+            .join(closing, ["symbol", "_part"], "left")
             .select("symbol", "_probe.*", F.coalesce("_seen", "_carried").alias("asof_price")))

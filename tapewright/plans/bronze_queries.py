@@ -19,7 +19,8 @@ from tapewright.sources.tables import table
 LOG = """log AS (
   SELECT *, CASE WHEN reject_reason IS NOT NULL THEN 'crypto_raw_unknown_unknown'
     ELSE 'crypto_raw_' || lower(symbol) || '_' || stream_type END AS topic,
-    CAST(user_id % 3 AS INTEGER) AS "partition", event_id AS "offset" FROM ids)"""
+    CAST(CASE WHEN reject_reason IS NULL THEN ('0x' || substr(md5(symbol), 1, 15))::BIGINT ELSE event_id END % 3
+      AS INTEGER) AS "partition", event_id AS "offset" FROM ids)"""
 
 
 def log(spark, folder) -> DataFrame:
@@ -147,9 +148,9 @@ SELECT event_kind, count(*) AS n, count(p_value) FILTER (WHERE event_kind = 'tra
        count(*) FILTER (WHERE event_kind = '24hrTicker') AS n_last_price,
        count(*) FILTER (WHERE event_kind = 'kline') AS n_close,
        count(*) FILTER (WHERE event_kind = 'depthUpdate') AS n_bids
-FROM ids WHERE reject_reason IS NULL AND event_kind <> 'unknown' GROUP BY event_kind"""))
+FROM ids WHERE reject_reason IS NULL GROUP BY event_kind"""))
 def bronze_union_types(spark, folder):
-    """Four typed tables stored one by one, read back as one relation."""
+    """Four typed tables stored one by one, read back as one relation; other types have their header."""
     rows = envelope.with_levels(envelope.accepted(normalized(spark, folder)))
     path = fresh_path(spark, "bronze_typed")
     (rows.select("event_kind", *envelope.HEADER, *envelope.TRADE_COLUMNS, "last_price", "close",
@@ -157,10 +158,10 @@ def bronze_union_types(spark, folder):
      .write.partitionBy("event_kind").parquet(path))
     stored = spark.read.parquet(path)
     kinds = {fv.TRADE: "price", fv.TICKER: "last_price", fv.KLINE: "close", fv.DEPTH: "bids"}
-    union = None
+    union = stored.filter(~F.col("event_kind").isin(*kinds)).select("event_kind", "record_id")
     for kind, column in kinds.items():
         part = stored.filter(F.col("event_kind") == kind).select("event_kind", "record_id", column)
-        union = part if union is None else union.unionByName(part, allowMissingColumns=True)
+        union = union.unionByName(part, allowMissingColumns=True)
     return union.groupBy("event_kind").agg(
         F.count("*").alias("n"),
         *[F.count(column).alias(f"n_{column}") for column in kinds.values()])

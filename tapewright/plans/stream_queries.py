@@ -27,7 +27,7 @@ from tapewright.session import fresh_path
 from tapewright.sources import feed, lake, message_log
 from tapewright.sources.tables import events_stream
 from tapewright.sources.tables import table
-from tapewright.streaming import alerts, indicator_state, ingest, sinks, window_table, windows
+from tapewright.streaming import alerts, indicator_state, ingest, sinks, window_table
 
 # Batches in which the tables below arrive, each with rows of all times.
 BATCHES = 3
@@ -37,16 +37,6 @@ def stream_messages(spark, folder):
     return feed.raw_messages(events_stream(spark, folder))
 
 
-def stream_trades(spark, folder):
-    return feed.trades(events_stream(spark, folder))
-
-
-def _drained(spark, rows, label):
-    root = fresh_path(spark, label)
-    sinks.drain_to_table(rows, f"{root}/table", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/table")
-
-
 @query("stream_bronze_ingest", over("ids", """
 SELECT record_id, symbol, event_time, date, p_value AS price, size_in::DOUBLE AS quantity, trade_id
 FROM ids WHERE reject_reason IS NULL AND stream_type = 'trade'"""))
@@ -104,8 +94,11 @@ def stream_live_topics(spark, folder):
 @query("stream_dedupe", over("redelivered", """
 SELECT symbol, trade_id, min(price) AS price FROM redelivered GROUP BY symbol, trade_id"""))
 def stream_dedupe(spark, folder):
-    rows = windows.deduplicate(feed.redelivered(stream_trades(spark, folder)))
-    return _drained(spark, rows, "stream_dedupe").select("symbol", "trade_id", "price")
+    """Trades and their copies arrive in batches of all times, copies often in another batch."""
+    root = fresh_path(spark, "stream_dedupe")
+    sent = window_table.arrivals(feed.redelivered(trades(spark, folder)), "event_time", BATCHES)
+    window_table.keep_first(sent, root, f"{root}/checkpoint")
+    return window_table.read_first(spark, root).select("symbol", "trade_id", "price")
 
 
 @query("stream_late_rows", over("trades", """

@@ -139,7 +139,7 @@ def message_log(messages: DataFrame) -> DataFrame:
 
     Offsets are the event ids: unique and rising per topic and partition, not dense.
     """
-    keep = ("event_id", "user_id")
+    keep = ("event_id",)
     rows = envelope.normalize(messages, keep=keep)
     good = F.to_json(F.struct(*envelope.HEADER, *envelope.TRADE_COLUMNS),
                      {"ignoreNullFields": "false"})
@@ -152,7 +152,9 @@ def message_log(messages: DataFrame) -> DataFrame:
         F.when(ok, good).otherwise(bad).cast("binary").alias("value"),
         F.when(ok, topic_name(F.col("symbol"), F.col("stream_type")))
         .otherwise(topic_name(F.lit(None), F.lit(None))).alias("topic"),
-        F.pmod(F.col("user_id"), F.lit(3)).cast("int").alias("partition"),
+        # A key has one partition, so its messages keep their order; those without a key go round.
+        F.pmod(F.when(ok, F.conv(F.substring(F.md5(F.col("symbol").cast("binary")), 1, 15), 16, 10).cast("bigint"))
+               .otherwise(F.col("event_id")), F.lit(3)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.timestamp_millis("received_time").alias("timestamp"),
         F.lit(0).alias("timestampType"))

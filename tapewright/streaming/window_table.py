@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapewright.functions.routing import bar_of, day_of, tick_order
@@ -111,6 +112,44 @@ def read_minute_counts(spark: SparkSession, root: str) -> DataFrame:
     return lake.read(spark, f"{root}/table").drop("period")
 
 
+def _apart(rows: DataFrame, delay_ms: int) -> DataFrame:
+    """Of copies of a key, those at least the delay after the copy before them, and the first."""
+    before = F.lag("event_time").over(W.partitionBy("symbol", "_key").orderBy("event_time"))
+    return (rows.dropDuplicates(["symbol", "_key", "event_time"]).withColumn("_gap", F.col("event_time") - before)
+            .filter(F.col("_gap").isNull() | (F.col("_gap") >= delay_ms)).drop("_gap"))
+
+
+def keep_first(trades: DataFrame, root: str, checkpoint: str, delay_ms: int = 600_000) -> None:
+    """One row per (symbol, trade id) among copies closer together than the delay, kept below ``root``.
+
+    Trades without an id are told apart by their record id, or by all they hold where there is none. There
+    is no watermark: a row of any age is compared with the stored days its delay reaches, so late trades
+    are kept and their copies are not. A batch writes a folder of its own and reads those of earlier
+    batches only, so a repeated batch gives the same rows.
+    """
+    spark = trades.sparkSession
+    own = [F.col("record_id")] if "record_id" in trades.columns else []
+    record = F.coalesce(*own, F.to_json(F.struct(*trades.columns)))
+    key = F.when(F.col("trade_id").isNull(), F.concat(F.lit("record "), record)).otherwise(
+        F.col("trade_id").cast("string"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        fresh = _apart(batch.withColumn("_key", key), delay_ms).withColumn("period", day_of(F.col("event_time")))
+        if batch_id and lake.exists(spark, f"{root}/kept"):
+            reach = F.array_distinct(F.array(*[day_of(F.col("event_time") + d) for d in (-delay_ms, 0, delay_ms)]))
+            days = batch.select(F.explode(reach).alias("period")).distinct()
+            stored = lake.read(spark, f"{root}/kept").filter(F.col("batch").cast("bigint") < batch_id).join(
+                days, "period", "left_semi").select(F.col("symbol").alias("_symbol"), F.col("_key").alias("_known"), F.col("event_time").alias("_at"))
+            fresh = fresh.join(stored, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_key") == F.col("_known"))
+                               & (F.abs(F.col("event_time") - F.col("_at")) < delay_ms), "left_anti")
+        fresh.write.mode("overwrite").partitionBy("period").parquet(f"{root}/kept/batch={batch_id}")
+    drain_batches(trades, handle, checkpoint)
+
+
+def read_first(spark: SparkSession, root: str) -> DataFrame:
+    return lake.read(spark, f"{root}/kept").drop("batch", "period", "_key")
+
+
 def arrivals(rows: DataFrame, key: str, batches: int, label: str = "arrivals") -> DataFrame:
     """``rows`` as a stream of that many files, dealt by a hash of ``key``, one a batch: no batch is in time order."""
     spark, path = rows.sparkSession, fresh_path(rows.sparkSession, label)

@@ -117,3 +117,19 @@ def test_batch_counts_once_after_a_crash(spark, monkeypatch, crash):
     assert sorted(tuple(r) for r in lake.read(spark, f"{root}/table").select("symbol", "k", "n").collect()) == [("a", 1, 2), ("b", 2, 2)]
     give(2)
     assert {r.n for r in lake.read(spark, f"{root}/table").collect()} == {3}
+
+
+def test_copies_are_dropped_and_late_trades_kept(spark):
+    day, minute = 86_400_000, 60_000
+    batches = [[("A", 1, day - 1, 1.0), ("A", 2, 5 * day, 2.0), ("A", None, 7, 3.0), (None, 9, 10, 9.0)],
+               # The copy of 1 lies behind midnight; 3 is older than all before; 1 comes again an hour later.
+               [("A", 1, day + 1, 1.0), ("A", 3, 20, 4.0), ("A", 1, day + 60 * minute, 1.0), ("A", None, 7, 3.5)],
+               [("A", 3, 19, 4.0), ("A", 3, 21, 4.0), ("A", None, 7, 3.0), (None, 9, 11, 9.0), ("B", 3, 20, 5.0), ("B", 3, 20, 5.0)]]
+    root, schema = fresh_path(spark, "test-first"), "symbol string, trade_id bigint, event_time bigint, price double"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+        window_table.keep_first(stream, root, f"{root}/checkpoint")
+    want = sorted([*batches[0], *batches[1][1:], ("B", 3, 20, 5.0)], key=str)
+    assert sorted(map(tuple, window_table.read_first(spark, root).select(
+        "symbol", "trade_id", "event_time", "price").collect()), key=str) == want

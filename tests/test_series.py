@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapewright.operators import bars, correlation, indicators, trades
-from tapewright.operators.series import with_position
+from tapewright.operators.series import time_parts, with_position
 
 N, WIDTH = 6000, "1m"
 
@@ -226,3 +226,27 @@ def test_gaps_over_bucket_borders(spark):
     assert tuple(kept) == (2.0, 2.0)
     parts = filled.filter("symbol = 'A'").groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > 4
+
+
+def test_parts_of_a_busy_symbol_are_even(spark):
+    """Half of the ticks are one symbol's, most of them within a second; no part has twice its share."""
+    rng = random.Random(9)
+    ticks = [("HOT", rng.randrange(1000) if i % 4 else rng.randrange(10**9), i, float(i)) for i in range(20_000)]
+    ticks += [(f"S{i % 50}", rng.randrange(10**9), i, float(i)) for i in range(20_000, 40_000)]
+    frame = spark.createDataFrame(ticks, "symbol string, event_time bigint, trade_id bigint, price double").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = time_parts(frame, ["symbol", "event_time", "trade_id"], "test-parts")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [r["n"] for r in cut.groupBy("_part").agg(F.count("*").alias("n")).collect()]
+    assert len(parts) == 8 and sum(parts) == len(ticks) and max(parts) < 2 * len(ticks) / len(parts)
+
+
+def test_asof_without_symbol_or_time(spark):
+    ticks = spark.createDataFrame([("A", 10, 1, 1.0), (None, 5, 2, 2.0), ("A", None, 3, 3.0)],
+                                  "symbol string, event_time bigint, trade_id bigint, price double")
+    probes = spark.createDataFrame([("A", 10, 1), ("A", 9, 2), (None, 50, 3), ("A", None, 4)],
+                                   "symbol string, probe_time bigint, probe_id int")
+    assert {r.probe_id: r.asof_price for r in trades.asof_price(probes, ticks).collect()} == {1: 1.0, 2: None, 3: None, 4: None}
+    assert trades.asof_price(probes, ticks.filter("false")).filter("asof_price is not null").count() == 0

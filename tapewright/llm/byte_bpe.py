@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from tapewright.llm import textbytes as tb
 NEVER = np.int32(2**31 - 1)
 # Encoded pieces a worker remembers; when full it starts anew. It bounds memory and changes no result.
 REMEMBERED = 200_000
+# Bytes from which on a piece is merged on linked places: compacting its row each round would cost the square.
+LONG = 4096
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,7 +81,11 @@ class Vocabulary:
         counts = lengths.copy()
         results: list[tuple[np.ndarray, np.ndarray]] = []
         bucket = np.ceil(np.log2(np.maximum(lengths, 1))).astype(int)
-        for size in np.unique(bucket[lengths > 0]):
+        for row in np.flatnonzero(lengths >= LONG):
+            bucket[row] = -1
+            ids = self._merge_linked(data[starts[row]:starts[row] + lengths[row]])
+            results.append((np.array([row]), ids[None, :]))
+        for size in np.unique(bucket[(lengths > 0) & (bucket >= 0)]):
             rows = np.flatnonzero((bucket == size) & (lengths > 0))
             width = int(lengths[rows].max())
             at = starts[rows, None] + np.arange(width)
@@ -123,6 +130,46 @@ class Vocabulary:
                 ranks[own[left], at[left] - 1] = self.pair(grid[own[left], at[left] - 1], grid[own[left], at[left]])
         return done
 
+    def _merge_linked(self, ids: np.ndarray) -> np.ndarray:
+        """The merges of ``_merge`` for one long piece: leftmost pair of least rank first, off a heap.
+
+        The dead place of a merge is skipped by links instead of being compacted; the ids left are
+        compacted once, at the end.
+        """
+        count = len(ids)
+        ranks = np.append(self.pair(ids[:-1], ids[1:]), NEVER).astype(np.int64)
+        heap = (ranks << 32 | np.arange(count))[ranks < NEVER].tolist()
+        heapq.heapify(heap)
+        ids, ranks = ids.tolist(), ranks.tolist()
+        after, before = list(range(1, count + 1)), list(range(-1, count - 1))
+        never, seen = int(NEVER), {}
+
+        def pair(left: int, right: int) -> int:
+            key = left << 32 | right
+            if key not in seen:
+                seen[key] = int(self.pair(np.array([left]), np.array([right]))[0])
+            return seen[key]
+
+        def rank_again(at: int) -> None:
+            ranks[at] = pair(ids[at], ids[after[at]]) if after[at] < count else never
+            if ranks[at] < never:
+                heapq.heappush(heap, ranks[at] << 32 | at)
+        while heap:
+            entry = heapq.heappop(heap)
+            at, rank = entry & 0xFFFFFFFF, entry >> 32
+            if ranks[at] != rank:  # the place died or got another pair
+                continue
+            gone = after[at]
+            ids[at], ids[gone], ranks[gone] = rank, -1, never
+            after[at] = after[gone]
+            if after[at] < count:
+                before[after[at]] = at
+            rank_again(at)
+            if before[at] >= 0:
+                rank_again(before[at])
+        left = np.array(ids, np.int32)
+        return left[left >= 0]
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         return ragged(self.bytes, self.starts[ids], self.lengths[ids])
 
@@ -179,7 +226,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     which every executor must be able to open. Special tokens do not exist: their spellings are
     ordinary text. Null and empty texts have no ids. Repeated rows each give a row, an empty table
     none. Extra columns are not read. Text is worked on in parts of about 1 MiB; a longer text,
-    or a piece without a cut, is merged whole.
+    or a piece without a cut, is merged whole; the time of a piece grows little faster than its length.
     """
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)

@@ -103,7 +103,7 @@ def url_filter() -> str:
         return "CASE " + " ".join(
             f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') "
             f"THEN '{v if of == 0 else h + p}'" for v, h, p in ordered) + " END"
-    d = url_trust.DAMPING
+    d, last = url_trust.DAMPING, url_trust.rounds_for()
     rounds = "".join(f"""
 state{k + 1} AS MATERIALIZED (
   SELECT host, good, bad, no_out, no_in,
@@ -112,7 +112,7 @@ state{k + 1} AS MATERIALIZED (
   FROM state{k}
   LEFT JOIN (SELECT dst AS host, sum(trust * ahead) AS t FROM shares JOIN state{k} ON src = host GROUP BY dst) USING (host)
   LEFT JOIN (SELECT src AS host, sum(distrust * back) AS d FROM shares JOIN state{k} ON dst = host GROUP BY src) USING (host)
-),""" for k in range(url_trust.ROUNDS))
+),""" for k in range(last))
     return rf"""
 WITH cut AS (
   SELECT page_id, {_host('url')} AS host,
@@ -138,10 +138,11 @@ hosts AS (
          host NOT IN (SELECT src FROM edges) AS no_out, host NOT IN (SELECT dst FROM edges) AS no_in
   FROM seeds FULL JOIN (SELECT src AS host FROM edges UNION SELECT dst FROM edges) USING (host)),
 state0 AS MATERIALIZED (SELECT *, good AS trust, bad AS distrust FROM hosts),{rounds}
-scored AS (SELECT host, round(trust, 9) AS trust, round(distrust, 9) AS distrust FROM state{url_trust.ROUNDS}),
+scored AS (SELECT host, round(trust, 9) AS trust, round(distrust, 9) AS distrust FROM state{last}),
 judged AS (
   SELECT c.host, s.trust, s.distrust,
-         CASE WHEN s.distrust > s.trust AND s.distrust >= {url_trust.BLOCK_LIFT}::DOUBLE * c.pages / t.pages
+         CASE WHEN s.distrust > s.trust AND s.distrust * (1 - c.pages / t.pages)
+                   >= {url_trust.BLOCK_LIFT}::DOUBLE * (c.pages / t.pages) * (1 - s.distrust)
               THEN 'block' ELSE 'allow' END AS by_host
   FROM counted c CROSS JOIN total t LEFT JOIN scored s USING (host))
 SELECT page_id, r.host, path, rule, coalesce(ruled, by_host, 'allow') AS verdict,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +14,17 @@ from tapewright.llm.tables import stage
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
 DAMPING = 0.85
-ROUNDS = 12
-# Distrust of a host, as a multiple of its share of all pages, from which on it is blocked.
+# The share of all weight that may still move when propagation ends; after k rounds it is at most DAMPING ** k.
+TOLERANCE = 1e-3
+# Distrust of a host in odds, as a multiple of the odds of its share of all pages, from which on it is blocked.
 BLOCK_LIFT = 2.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def rounds_for(tolerance: float = TOLERANCE, damping: float = DAMPING) -> int:
+    return math.ceil(math.log(tolerance) / math.log(damping))
+
+
 def host_of(url: Column) -> Column:
     host = F.translate(F.regexp_extract(url, "(?s)^.*?://([^/?#]*)", 1), _UPPER, _LOWER)
     return F.coalesce(host, F.lit(""))
@@ -49,13 +55,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").alias("w")))
 
 
-def scores(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def scores(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """Adds ``trust`` and ``distrust`` to seeds (host, good, bad): shares of trusted and blocked pages.
 
     Trust follows links, distrust goes against them, both with restarts at their seeds. What has no
     link to leave by stays at its host, so a host without links keeps its seed, however many links
     others have. Hosts that only links name take part with no seed. Each round is one pass over the
-    edges.
+    edges; they go on until no more than ``tolerance`` of the weight can still move.
     """
     edges = stage(edges, "host-edges")
     out_sum = edges.groupBy("src").agg(F.sum("w").alias("out"))
@@ -73,7 +79,7 @@ def scores(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: fl
 
     def stays(end: str, score: str) -> Column:
         return F.when(F.col(end), F.col(score)).otherwise(0.0)
-    for _ in range(rounds):
+    for _ in range(rounds_for(tolerance, damping)):
         ahead = shares.join(state, shares["src"] == state["host"]).select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("ahead")).alias("t"), F.lit(0.0).alias("d"))
         back = shares.join(state, shares["dst"] == state["host"]).select(
@@ -87,11 +93,13 @@ def scores(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: fl
     return state
 
 
-def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS, lift: float = BLOCK_LIFT) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, tolerance: float = TOLERANCE, lift: float = BLOCK_LIFT) -> DataFrame:
     """page_id, host, path, rule, verdict, trust and distrust of every page.
 
     A rule decides where one fits. Else the host does: it is blocked when its distrust is above
-    its trust and at least ``lift`` times its share of all pages, otherwise allowed. Null urls and
+    its trust and, in odds, at least ``lift`` times its share of all pages, otherwise allowed; so
+    distrust, of which restarts keep 1 - damping at the seeds, can block a host of up to about
+    three quarters of all pages. Of rules of equal length that fit, the first counts. Null urls and
     urls without ``://`` have empty host and path and are allowed. Null html has no links.
     Repeated rows count as pages each. An empty table gives none. Extra columns are not read.
     """
@@ -105,13 +113,14 @@ def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS, lift: float = BLO
     pages_all, good, bad = counted.agg(F.sum("pages"), F.sum("good"), F.sum("bad")).first()
     seeds = counted.filter("host <> ''").select(
         "host", (F.col("good") / max(good or 0, 1)).alias("good"), (F.col("bad") / max(bad or 0, 1)).alias("bad"))
-    scored = scores(host_edges(pages), seeds, rounds).select("host", "trust", "distrust")
+    scored = scores(host_edges(pages), seeds, tolerance).select(
+        "host", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
     fair = F.col("pages") / max(pages_all or 0, 1)
     judged = counted.join(scored, "host", "left").select(
         "host", "trust", "distrust",
-        F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= lift * fair), "block")
+        F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") * (1 - fair) >= lift * fair * (1 - F.col("distrust"))), "block")
         .otherwise("allow").alias("by_host"))
     return ruled.join(judged, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "by_host", F.lit("allow")).alias("verdict"),
-        F.coalesce(F.round("trust", 9), F.lit(0.0)).alias("trust"),
-        F.coalesce(F.round("distrust", 9), F.lit(0.0)).alias("distrust"))
+        F.coalesce("trust", F.lit(0.0)).alias("trust"),
+        F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

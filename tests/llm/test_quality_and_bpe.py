@@ -1,8 +1,11 @@
 import base64
 import collections
 import hashlib
+import random
 import re
+import time
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -71,3 +74,23 @@ def test_bpe_forgets_without_changing_results(frame, corpus, monkeypatch):
         alone = [again.encode([w])[0].tolist() for w in words]
         assert ids.tolist() == [i for a in alone for i in a] and counts.tolist() == [len(a) for a in alone]
     assert hashlib.sha256(vocab.decode(pieces.encode(["four"])[0]).tobytes()).hexdigest() == hashlib.sha256(b"four").hexdigest()
+
+
+def test_long_pieces_merge_alike_and_in_time():
+    path, _ = tokenizer()
+    vocab = byte_bpe.vocabulary(path)
+    rng = random.Random(3)
+    pieces = ["".join(rng.choices("etaoinshr", k=byte_bpe.LONG + 500)), "a" * 5001, "\u00e9\u4f60" * 1500, "the" * 2000]
+    raw = [p.encode() for p in pieces]
+    ids, counts = vocab.encode([*raw, b"short", b"", *raw[:1]])
+    rows, ends = [], np.cumsum(counts)
+    for end, n in zip(ends, counts):
+        rows.append(ids[end - n:end].tolist())
+    for row, text in zip(rows, raw):
+        grid = vocab.byte_ids[np.frombuffer(text, np.uint8)][None, :].astype(np.int32)
+        assert row == vocab._merge(np.array([0]), grid)[0][1][0].tolist()
+        assert bytes(vocab.decode(np.array(row))) == text
+    assert rows[6] == rows[0] and rows[5] == []
+    start = time.perf_counter()
+    vocab.encode(["".join(rng.choices("etaoinshr", k=400_000)).encode()])
+    assert time.perf_counter() - start < 30

@@ -150,13 +150,21 @@ def test_trust_and_distrust_follow_links(spark):
     back = np.divide(w, w.sum(0, keepdims=True), out=np.zeros_like(w), where=w.sum(0, keepdims=True) > 0)
     good, bad = np.array([h == "good.com" for h in hosts], float), np.array([h == "bad.net" for h in hosts], float)
     t, d = good, bad
-    for _ in range(url_trust.ROUNDS):
+    for _ in range(url_trust.rounds_for()):
         t, d = (0.15 * good + 0.85 * (ahead.T @ t + t * (w.sum(1) == 0)),
                 0.15 * bad + 0.85 * (back @ d + d * (w.sum(0) == 0)))
     for h, x, y in zip(hosts, t, d):
         assert abs(rows[h]["trust"] - x) < 1e-8 and abs(rows[h]["distrust"] - y) < 1e-8
 
 
+def test_a_host_of_most_pages_can_be_blocked(spark):
+    pages = [(100, "http://bad.net/es/", ""), (101, "http://fine.com/", "")]
+    pages = [(i, f"http://most.org/{i}", '<a href="http://bad.net/">') for i in range(6)] + pages + [
+        (200 + i, f"http://p{i}.org/", "") for i in range(3)]
+    rows = {r["page_id"]: r["verdict"] for r in url_trust.judge(spark.createDataFrame(pages, PAGES)).collect()}
+    assert rows[101] == "allow" and {rows[i] for i in range(6)} == {"block"} and {rows[200 + i] for i in range(3)} == {"allow"}
+
+
 def test_links_elsewhere_change_no_verdict(spark):
     pages = [(i, f"http://host{i % 4}.net/{'es' if i % 4 == 0 or i == 5 else 'de'}/{i}", "") for i in range(60)]
     more = [(60, "http://a.org/", '<a href="http://b.org/">')]

@@ -7,6 +7,7 @@ the table holds after each batch what a batch job over all rows so far would giv
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,14 +99,17 @@ def _merged_counts(rows: DataFrame) -> DataFrame:
 
 
 def keep_minute_counts(rows: DataFrame, root: str, checkpoint: str) -> None:
-    """Messages per type and minute of received time, kept up to date below ``root``."""
+    """Messages per type and minute of received time, kept up to date below ``root``.
+
+    Only the two columns go into the stream: a batch's plan is fixed there, so columns nobody counts would be computed.
+    """
     spark = rows.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         minute = bar_of(F.col("received_time"), MINUTE_MS).alias("minute_ms")
         ones = batch.select("stream_type", minute, F.lit(1).cast("bigint").alias("n")).withColumn("period", period_of(F.col("minute_ms"), MINUTE_MS))
         merge_batch(spark, root, _merged_counts(ones), _merged_counts, batch_id, ("period",))
-    drain_batches(rows, handle, checkpoint)
+    drain_batches(rows.select("stream_type", "received_time"), handle, checkpoint)
 
 
 def read_minute_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -151,9 +155,15 @@ def read_first(spark: SparkSession, root: str) -> DataFrame:
 
 
 def arrivals(rows: DataFrame, key: str, batches: int, label: str = "arrivals") -> DataFrame:
-    """``rows`` as a stream of that many files, dealt by a hash of ``key``, one a batch: no batch is in time order."""
+    """``rows`` as a stream of that many batches, dealt by a hash of ``key``: no batch is in time order.
+
+    A batch is as many files as the session has cores, so neither their writing nor a batch's work is one
+    task; rows of one key are in one file. Tables of fewer keys than files may give fewer batches.
+    """
     spark, path = rows.sparkSession, fresh_path(rows.sparkSession, label)
-    part = F.pmod(F.xxhash64(key), F.lit(batches))
-    rows.withColumn("_part", part).repartition(batches, "_part").sortWithinPartitions("_part").write.partitionBy("_part").parquet(path)
-    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    parts = batches * spark.sparkContext.defaultParallelism
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    rows.withColumn("_part", part).repartition(parts, "_part").sortWithinPartitions("_part").write.partitionBy("_part").parquet(path)
+    files = len(spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(path).inputFiles())
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, math.ceil(files / batches)))
             .option("recursiveFileLookup", "true").parquet(path))

@@ -5,10 +5,11 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from tapewright.session import fresh_path
 from tapewright.sources import lake
-from tapewright.streaming import window_table
+from tapewright.streaming import sinks, window_table
 from tapewright.streaming.indicator_state import Indicators
 
 HOUR = 3_600_000
@@ -133,3 +134,28 @@ def test_copies_are_dropped_and_late_trades_kept(spark):
     want = sorted([*batches[0], *batches[1][1:], ("B", 3, 20, 5.0)], key=str)
     assert sorted(map(tuple, window_table.read_first(spark, root).select(
         "symbol", "trade_id", "event_time", "price").collect()), key=str) == want
+
+
+def test_a_batch_is_many_files_and_a_key_one_batch(spark):
+    seen = []
+
+    def handle(batch, number):
+        seen.append([tuple(r) for r in batch.select("k", F.input_file_name()).collect()])
+    rows = spark.range(6000).select((F.col("id") % 2000).alias("k"))
+    sinks.drain_batches(window_table.arrivals(rows, "k", 3), handle, fresh_path(spark, "test-arrivals"))
+    assert sorted(k for batch in seen for k, _ in batch) == sorted(3 * list(range(2000)))
+    assert len(seen) == 3 and all(len({name for _, name in batch}) > 1 for batch in seen)
+    assert sum(len({k for k, _ in batch}) for batch in seen) == 2000
+    seen.clear()
+    sinks.drain_batches(window_table.arrivals(rows.filter("k < 2"), "k", 3), handle, fresh_path(spark, "test-arrivals"))
+    assert sorted(k for batch in seen for k, _ in batch) == [0, 0, 0, 1, 1, 1] and len(seen) <= 3
+
+
+def test_minute_counts_compute_no_other_column(spark):
+    root = fresh_path(spark, "test-minutes")
+    rows = spark.createDataFrame([(60_000 * (i % 3) + i, "trade" if i % 2 else None, i) for i in range(60)],
+                                 "received_time bigint, stream_type string, k bigint")
+    stream = window_table.arrivals(rows, "k", 2).withColumn("_never", F.raise_error(F.lit("computed")))
+    window_table.keep_minute_counts(stream, root, f"{root}/checkpoint")
+    assert {tuple(r) for r in window_table.read_minute_counts(spark, root).select("minute_ms", "stream_type", "n").collect()} == {
+        (m * 60_000, kind, 10) for m in range(3) for kind in ("trade", None)}

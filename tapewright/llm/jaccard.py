@@ -233,8 +233,7 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     # own tokens are the most widespread for its size: the original rather than one of its edits.
     spread = postings.groupBy("token").agg(F.count("*").alias("f"))
     counted = postings.join(spread, "token")
-    weighed = counted.groupBy("sig").agg((F.sum("f") / F.max("n")).alias("w"))
-    heavy = stage(postings.join(weighed, "sig"), "jaccard-weights")
+    heavy = stage(counted.withColumn("w", F.sum("f").over(of_set) / F.col("n")).drop("f"), "jaccard-weights")
     pivots = heavy.groupBy("token").agg(F.max(F.struct("w", "sig")).alias("p")).select("token", F.col("p.sig").alias("pivot"))
     best = (heavy.join(pivots, "token").filter("sig <> pivot").groupBy("sig", "pivot")
             .agg(F.count("*").alias("c")).groupBy("sig").agg(F.max(F.struct("c", "pivot")).alias("best"))
@@ -255,9 +254,9 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     # The matrix: distinct (token, group), without tokens of one group.
     rows = postings.join(members.select("sig", "root", "members", "least_n", "most_n"), "sig")
     spread = rows.select("token", "root").distinct().groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1")
-    rows = stage(rows.join(spread, "token").withColumn("common", F.col("groups") > COMMON_GROUPS), "jaccard-matrix")
-    uncounted = rows.groupBy("sig").agg(F.sum(F.col("common").cast("int")).alias("uncounted"))
-    rows = rows.join(uncounted, "sig").withColumn("must", _need(F.col("n")) - F.col("uncounted"))
+    rows = rows.join(spread, "token").withColumn("common", F.col("groups") > COMMON_GROUPS)
+    uncounted = F.sum(F.col("common").cast("int")).over(of_set)
+    rows = stage(rows.withColumn("must", _need(F.col("n")) - uncounted), "jaccard-matrix")
     by_count = _bounded(rows.filter("not common"))
     crowded = rows.filter("must <= 0").select("sig", "n", "root").distinct()
     # In its own group, what is not already one with the pivot is compared with all.

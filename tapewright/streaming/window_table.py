@@ -7,7 +7,6 @@ the table holds after each batch what a batch job over all rows so far would giv
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +23,8 @@ MINUTE_MS = 60_000
 # Partitions of the kept tables, and the slots a partition has room for: a day of minutes, sixty days of hours.
 KEPT_BY = ("symbol", "period")
 PERIOD_SLOTS = 1440
+# Row groups of the files that arrive.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 
 
 def period_of(epoch_ms: Column, width_ms: int) -> Column:
@@ -155,15 +156,14 @@ def read_first(spark: SparkSession, root: str) -> DataFrame:
 
 
 def arrivals(rows: DataFrame, key: str, batches: int, label: str = "arrivals") -> DataFrame:
-    """``rows`` as a stream of that many batches, dealt by a hash of ``key``: no batch is in time order.
+    """``rows`` as a stream of that many files, dealt by a hash of ``key``, one a batch: no batch is in time order.
 
-    A batch is as many files as the session has cores, so neither their writing nor a batch's work is one
-    task; rows of one key are in one file. Tables of fewer keys than files may give fewer batches.
+    A file of dense rows is a single split, so a batch is dealt out to all cores as it is read; small
+    row groups let several tasks read a large file.
     """
     spark, path = rows.sparkSession, fresh_path(rows.sparkSession, label)
-    parts = batches * spark.sparkContext.defaultParallelism
-    part = F.pmod(F.xxhash64(key), F.lit(parts))
-    rows.withColumn("_part", part).repartition(parts, "_part").sortWithinPartitions("_part").write.partitionBy("_part").parquet(path)
-    files = len(spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(path).inputFiles())
-    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, math.ceil(files / batches)))
-            .option("recursiveFileLookup", "true").parquet(path))
+    part = F.pmod(F.xxhash64(key), F.lit(batches))
+    (rows.withColumn("_part", part).repartition(batches, "_part").sortWithinPartitions("_part").write
+     .option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("_part").parquet(path))
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", "true").parquet(path).repartition(spark.sparkContext.defaultParallelism))

@@ -31,6 +31,8 @@ COMMON_GROUPS = 20
 COMMON_HERE = 64
 # Members of a group, and queries, that are compared in one call.
 PART = 256
+# Tokens of sets in one block, and of blocks in one token range, that are counted in one call.
+BLOCK_TOKENS = 65_536
 # Documents whose postings one token range should hold.
 RANGE_DOCS = 32768
 _ROW_BITS, _TOKEN_BITS = 10, 54
@@ -288,13 +290,67 @@ def _bounded(rows: DataFrame) -> DataFrame:
             .filter(F.col("overlap") >= F.greatest("must", F.lit(1))).select("sig", "n", "root"))
 
 
-def _unpack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in rows:
-        for k, packed in enumerate(batch.column(3).to_pylist()):
-            tokens = np.frombuffer(packed, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.full(len(tokens), batch.column(c)[k].as_py())) for c in range(3)),
-                 pa.array(tokens)], ["sig", "n", "root", "token"])
+def _held(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all sets of a block, and the row of each."""
+    packed = table.column("tokens").to_pylist()
+    return (np.frombuffer(b"".join(packed), np.int64),
+            np.repeat(np.arange(len(packed)), np.array([len(p) // 8 for p in packed], np.int64)))
+
+
+def _count(ranges: int):
+    """Rows (range, block, counts) of one block; counts are (token, its sets here, least root, greatest root)."""
+    def counts(table: pa.Table) -> pa.Table:
+        token, row = _held(table)
+        root = table.column("root").to_numpy()[row]
+        order = np.lexsort((root, token))
+        token, root = token[order], root[order]
+        first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        past = np.append(first[1:], len(token))
+        known = np.stack([token[first], past - first, root[first], root[past - 1]], axis=1)
+        number = (known[:, 0].astype(np.float64) * (ranges / float(1 << _TOKEN_BITS))).astype(np.int64)
+        cuts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+        return pa.table({
+            "range": number[cuts], "block": np.full(len(cuts), table.column("block")[0].as_py()),
+            "counts": pa.array([part.tobytes() for part in np.split(known, cuts[1:])], pa.binary())})
+    return counts
+
+
+def _spread(table: pa.Table) -> pa.Table:
+    """Rows (block, known): (token, its sets) of a block's tokens in this range that two groups or more have."""
+    parts = [np.frombuffer(c, np.int64).reshape(-1, 4) for c in table.column("counts").to_pylist()]
+    rows = np.concatenate(parts)
+    token, at = np.unique(rows[:, 0], return_inverse=True)
+    f, low, high = np.zeros(len(token), np.int64), rows[:, 2].max() + 0 * token, rows[:, 3].min() + 0 * token
+    np.add.at(f, at, rows[:, 1])
+    np.minimum.at(low, at, rows[:, 2])
+    np.maximum.at(high, at, rows[:, 3])
+    known = np.stack([rows[:, 0], f[at]], axis=1)
+    shared = (low < high)[at]
+    past = np.cumsum([len(p) for p in parts])
+    out = [known[a:b][shared[a:b]].tobytes() for a, b in zip(np.append(0, past[:-1]), past)]
+    return pa.table({"block": table.column("block"), "known": pa.array(out, pa.binary())})
+
+
+def _prefix(sets: pa.Table, spread: pa.Table) -> pa.Table:
+    """(token, sig, n, root, f): of a block's sets the shared tokens among their n/5 + 1 rarest.
+
+    Tokens of one group come before the shared ones; those are ordered by how many sets have them.
+    """
+    known = np.frombuffer(b"".join(spread.column("known").to_pylist()), np.int64).reshape(-1, 2)
+    known = known[np.argsort(known[:, 0])]
+    token, row = _held(sets)
+    shared = np.isin(token, known[:, 0])
+    token, row = token[shared], row[shared]
+    f = known[np.searchsorted(known[:, 0], token), 1]
+    order = np.lexsort((token, f, row))
+    token, row, f = token[order], row[order], f[order]
+    n = sets.column("n").to_numpy()
+    count = np.bincount(row, minlength=len(n))
+    place = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+    least = (place + (n - count)[row]) < (n - (4 * n + 4) // 5 + 1)[row]
+    token, row, f = token[least], row[least], f[least]
+    return pa.table({"token": token, "sig": sets.column("sig").to_numpy()[row], "n": n[row],
+                     "root": sets.column("root").to_numpy()[row], "f": f})
 
 
 def _compare(percent: int):
@@ -358,19 +414,20 @@ def _rarest(crowded: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame,
 
     All their tokens are ordered by how many of these sets have them. Linked sets share one among
     the n/5 + 1 rarest of both, so a passage that many share is not looked at where a set has
-    enough of its own. A token of few sets names the groups to open. Sets that come down to common ones, a family of
-    near misses, would meet pair by pair through them. They are grouped anew, each by the most common token of
-    its prefix, its hub. Most of a family has one of few hubs, so the rows stay few: a query for each set and hub whose
+    enough of its own. Sets are counted a block at a time, so a token that many have meets those of
+    other blocks once a block, and only the prefixes become rows. A token of few sets names the
+    groups to open. Sets that come down to common ones, a family of near misses, would meet pair by
+    pair through them. They are grouped anew, each by the most common token of its prefix, its hub.
+    Most of a family has one of few hubs, so the rows stay few: a query for each set and hub whose
     members have a token of its prefix in theirs.
     """
-    tokens = stage(crowded.join(sets, "sig").select("sig", "n", "root", "tokens").mapInArrow(
-        _unpack, "sig long, n long, root long, token long"), "jaccard-crowded")
-    spread = tokens.groupBy("token").agg(
-        F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high"))
-    rank = F.row_number().over(Window.partitionBy("sig").orderBy("f", "token"))
-    prefix = stage(tokens.join(spread, "token").withColumn("rank", rank)
-                   .filter("rank <= n - floor((4 * n + 4) / 5) + 1 and low <> high")
-                   .select("token", "sig", "n", "root", "f"), "jaccard-prefix")
+    held = stage(crowded.join(sets, "sig").select("sig", "n", "root", "tokens"), "jaccard-crowded")
+    blocks = (held.agg(F.sum("n")).first()[0] or 0) // BLOCK_TOKENS + 1
+    held = held.withColumn("block", F.pmod(F.xxhash64("sig"), F.lit(blocks)))
+    spread = (held.groupBy("block").applyInArrow(_count(blocks), "range long, block long, counts binary")
+              .groupBy("range").applyInArrow(_spread, "block long, known binary"))
+    prefix = stage(held.groupBy("block").cogroup(spread.groupBy("block")).applyInArrow(
+        _prefix, "token long, sig long, n long, root long, f long"), "jaccard-prefix")
     rare = prefix.filter(F.col("f") <= COMMON_GROUPS)
     group = rare.select("token", F.col("root").alias("other")).distinct()
     few = (rare.join(group, "token").filter("other < root")

@@ -115,3 +115,34 @@ def test_families_of_near_misses_open_few_groups(spark, monkeypatch, seed, line)
             assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts)
     # About five a text at any size (1,000 to 8,000 measured); the square of a family would be far beyond.
     assert all(pairs < 8 * n for n, pairs in opened.items())
+
+
+def test_crowded_sets_are_counted_in_blocks_of_any_size(spark, frame, corpus, monkeypatch):
+    """Sets that share a passage stay one row each until their rarest tokens are known."""
+    rng, stage, rows = random.Random(5), jaccard.stage, {}
+
+    def counted(frame, label):
+        out = stage(frame, label)
+        rows[label] = out.count()
+        return out
+    monkeypatch.setattr(jaccard, "stage", counted)
+    monkeypatch.setattr(jaccard, "COMMON_GROUPS", 2)
+    passage = prose(rng, 80, 4000)
+    texts = [t for t in corpus if len(t or "") < 5000]
+    texts += [" ".join(passage + prose(rng, 120 + k % 7, 10 ** 6)) for k in range(120)]
+    expected = brute(texts)
+    for tokens in (None, 1024):
+        if tokens:
+            monkeypatch.setattr(jaccard, "BLOCK_TOKENS", tokens)
+        found = jaccard.link(frame(texts)).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
+        assert 100 < rows["jaccard-crowded"] <= len(texts)
+
+
+def test_no_crowded_sets(spark):
+    schema = "sig long, n long, root long"
+    few, hubs, asked = jaccard._rarest(spark.createDataFrame([], schema), spark.createDataFrame([], "sig long, tokens binary"))
+    assert few.count() == hubs.count() == asked.count() == 0
+    lone = spark.createDataFrame([(1, 2, 1)], schema)
+    held = spark.createDataFrame([(1, bytes(range(16)))], "sig long, tokens binary")
+    assert all(f.count() == 0 for f in jaccard._rarest(lone, held))
